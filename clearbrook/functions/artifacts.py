@@ -12,6 +12,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearbrook.fixed_values import (
     EMPTY_FILE_MESSAGE,
@@ -54,26 +55,31 @@ def _strip_one_fence(text: Column) -> Column:
     return F.get(F.transform(F.array(text), unwrap), F.lit(0))
 
 
-def _first_json(text: str) -> str | None:
-    try:
-        return json.dumps(json.loads(text), ensure_ascii=False)
-    except (ValueError, RecursionError):
-        pass
-    for opener in "{[":
-        start = text.find(opener)
-        if start < 0:
-            continue
+def _json_finder():
+    """The vectorised search, self-contained so that workers need no package."""
+
+    def first_json(text: str) -> str | None:
         try:
-            value, _ = json.JSONDecoder().raw_decode(text, start)
-            return json.dumps(value, ensure_ascii=False)
+            return json.dumps(json.loads(text), ensure_ascii=False)
         except (ValueError, RecursionError):
-            continue
-    return None
+            pass
+        for opener in "{[":
+            start = text.find(opener)
+            if start >= 0:
+                try:
+                    value, _ = json.JSONDecoder().raw_decode(text, start)
+                    return json.dumps(value, ensure_ascii=False)
+                except (ValueError, RecursionError):
+                    continue
+        return None
+
+    def find_json(texts: pd.Series) -> pd.Series:
+        return texts.map(first_json, na_action="ignore")
+
+    return F.pandas_udf(find_json, T.StringType())
 
 
-@F.pandas_udf("string")
-def _find_json(texts: pd.Series) -> pd.Series:
-    return texts.map(_first_json, na_action="ignore")
+_find_json = _json_finder()
 
 
 def extract_json(text: Column | str) -> Column:
