@@ -95,9 +95,9 @@ def price_percentiles(
     return exact_quantiles(df, column, {"p01": low, "p99": high}, by, method=method)
 
 
-def baseline_checks(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def baseline_checks(df: DataFrame, keys: Sequence[str] = KEYS, method: str = "auto") -> DataFrame:
     """The nine-figure baseline record."""
-    record = one_row(invalid_counts(df), duplicate_summary(df, keys), price_percentiles(df))
+    record = one_row(invalid_counts(df), duplicate_summary(df, keys), price_percentiles(df, method=method))
     return record.select(
         "n_rows", "n_dup_pairs", "n_dup_rows", "n_missing_customer", "n_price_zero_or_null",
         "n_qty_invalid", "n_date_null", "p01", "p99",
@@ -117,6 +117,7 @@ def table_metrics(
     keys: Sequence[str] = KEYS,
     price: str = "unit_price",
     customer: str = "customer_id",
+    method: str = "auto",
 ) -> DataFrame:
     """Metrics that exist on both sides of a cleaning step."""
     chosen = F.col(label) if label else label_column(df)
@@ -127,18 +128,21 @@ def table_metrics(
         F.count_distinct("label").alias("n_channel_labels"),
         F.count_if(off_domain("label", domain)).alias("n_channel_off_domain"),
     )
-    record = one_row(counts, duplicate_estimate(df, keys), price_percentiles(df, price))
+    record = one_row(counts, duplicate_estimate(df, keys), price_percentiles(df, price, method=method))
     return record.select(
         "n", "dup_est", "n_price_zero_or_null", "n_missing_customer", "n_channel_labels",
         "n_channel_off_domain", "p01", "p99",
     )
 
 
-def metrics_nonnull_price(df: DataFrame, keys: Sequence[str] = KEYS, price: str = "unit_price") -> DataFrame:
+def metrics_nonnull_price(
+    df: DataFrame, keys: Sequence[str] = KEYS, price: str = "unit_price", method: str = "auto"
+) -> DataFrame:
     """Rows, duplicates and percentiles over rows that have a price."""
     priced = df.where(F.col(price).isNotNull())
     record = one_row(
-        priced.agg(F.count(F.lit(1)).alias("n")), duplicate_estimate(priced, keys), price_percentiles(priced, price)
+        priced.agg(F.count(F.lit(1)).alias("n")), duplicate_estimate(priced, keys),
+        price_percentiles(priced, price, method=method),
     )
     return record.select("n", "dup_est", "p01", "p99")
 

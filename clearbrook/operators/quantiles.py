@@ -87,6 +87,16 @@ def largest_group(df: DataFrame, column: str, by: Sequence[str] = ()) -> int:
     return present.count()
 
 
+def quantile_method(df: DataFrame, column: str, by: Sequence[str] = ()) -> str:
+    """``gathered`` or ``distributed``, by the size of the largest group.
+
+    The answer also holds for any subset of ``df``, so a caller that measures
+    a table before and after removing rows needs to ask only once.
+    """
+    limit = GATHER_LIMIT_PER_GROUP if by else GATHER_LIMIT
+    return "gathered" if largest_group(df, column, by) <= limit else "distributed"
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
@@ -99,12 +109,11 @@ def exact_quantiles(
 
     One row per group with a value (one row in all without ``by``, NULLs when
     there is none).  ``count_as`` names a further column with the number of
-    values.  ``method`` is ``auto`` (by the size of the largest group),
-    ``gathered`` or ``distributed``; all three return the same quantiles.
+    values.  ``method`` is ``auto`` (see :func:`quantile_method`), ``gathered``
+    or ``distributed``; all return the same quantiles.
     """
     if method == "auto":
-        limit = GATHER_LIMIT_PER_GROUP if by else GATHER_LIMIT
-        method = "gathered" if largest_group(df, column, by) <= limit else "distributed"
+        method = quantile_method(df, column, by)
     if method == "gathered":
         return _gathered(df, column, probabilities, by, count_as)
     if method == "distributed":

@@ -11,6 +11,7 @@ from clearbrook.operators.compare import before_after_long
 from clearbrook.operators.drift import label_drift, label_off_domain, off_domain_total
 from clearbrook.operators.gates import gate_report, gates
 from clearbrook.operators.profile import table_metrics
+from clearbrook.operators.quantiles import quantile_method
 from clearbrook.operators.seasonality import classify_days, flagged_days, seasonality, seasonality_flags
 
 
@@ -26,7 +27,8 @@ def evidence_tables(
 ) -> dict[str, DataFrame]:
     flags = seasonality_flags(seasonality(staged, start, end))
     drift = label_drift(staged)
-    before, after = table_metrics(staged), table_metrics(cleaned)
+    method = quantile_method(staged, "unit_price")  # a cleaning only removes rows
+    before, after = table_metrics(staged, method=method), table_metrics(cleaned, method=method)
     shown = flags if days is None else flags.where(F.col("d").isin(*[F.lit(d).cast("date") for d in days]))
     return {
         "seasonality": seasonality_block(shown),
