@@ -69,6 +69,9 @@ METRIC_LABELS = (
 )
 
 # --- fixed values: SQL text guardrails (pattern, message) -------------------
+# SQL_HINTS holds, for patterns that start with a keyword, lower-case pieces of
+# which a matching text must contain at least one.  (No piece has an i, k or s:
+# letters with relatives outside ASCII that match them when case is ignored.)
 BLOCKED_SQL = (
     (r"\bDROP\s+(TABLE|VIEW|SCHEMA)\s+(?!IF\s+EXISTS\s+gold\.)(raw|stg)\.", "DROP em raw/stg"),
     (r"\bALTER\s+(TABLE|SCHEMA)\s+(raw|stg)\.", "ALTER em raw/stg"),
@@ -87,6 +90,18 @@ REQUIRED_SQL = (
     ),
     (r"\bROW_NUMBER\s*\(\s*\)\s*OVER", "deduplicação via ROW_NUMBER()"),
 )
+SQL_HINTS = {
+    "DROP em raw/stg": ("drop",),
+    "ALTER em raw/stg": ("alter",),
+    "UPDATE em raw/stg": ("update",),
+    "DELETE em raw/stg": ("delete",),
+    "comando fora do escopo": ("tach", "vacuum", "pragma", "tall", "load", "copy"),
+    "CREATE em raw/stg": ("create",),
+    "DROP IF EXISTS em raw/stg": ("drop",),
+    "TRUNCATE em raw/stg": ("truncate",),
+    "MERGE em raw/stg": ("merge",),
+    "INSERT em raw/stg": ("ert",),
+}
 UNKNOWN_SQL_COLUMNS = ("created_at", "updated_at", "ingested_at")
 CHANNEL_ALIAS_SQL = r"\bAS\s+channel\b"
 BARE_CHANNEL_SQL = r"(?<![_.\w])channel(?![_\w])"
@@ -101,6 +116,13 @@ EXTRA_BLOCKED_SQL = (
 )
 
 # --- fixed values: text artifacts -------------------------------------------
+# Every character that counts as white space at the ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+FENCE = "```"
+FENCE_LANGUAGE = "[a-zA-Z0-9_+-]*"
 MAX_FENCE_LAYERS = 3
 REQUIRED_ARTIFACT_KEYS = {
     "reports/plan.json": ("tasks",),

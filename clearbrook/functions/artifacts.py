@@ -16,24 +16,25 @@ from pyspark.sql import types as T
 
 from clearbrook.fixed_values import (
     EMPTY_FILE_MESSAGE,
+    FENCE,
+    FENCE_LANGUAGE,
     FINDING_KEYS,
     FINDINGS_ARTIFACT,
     MAX_FENCE_LAYERS,
     MISSING_FILE_MESSAGE,
     NO_JSON_MESSAGE,
     REQUIRED_ARTIFACT_KEYS,
+    WHITE_SPACE,
 )
 from clearbrook.functions.scalars import as_column
 
-_SPACE = r"[\s\x1c-\x1f]"
-_OUTER_SPACE = rf"(?U)\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z"
-# --- fixed value: what may open a fence --------------------------------------
-_FENCE_OPENING = rf"(?U)\A```[a-zA-Z0-9_+-]*{_SPACE}*\n"
+# The opening line of a fence, with the white space that may follow it.
+_FENCE_OPENING = rf"\A{FENCE}{FENCE_LANGUAGE}[{WHITE_SPACE}]*\n"
 
 
 def strip_space(text: Column | str) -> Column:
-    """Whitespace of every kind off both ends, in one linear pass."""
-    return F.regexp_replace(as_column(text), _OUTER_SPACE, "")
+    """White space of every kind off both ends; the middle is not looked at."""
+    return F.btrim(as_column(text), F.lit(WHITE_SPACE))
 
 
 def strip_fences(text: Column | str, layers: int = MAX_FENCE_LAYERS) -> Column:
@@ -48,9 +49,11 @@ def _strip_one_fence(text: Column) -> Column:
     # A one-element transform names the intermediate text once, so that three
     # layers stay three steps instead of doubling the expression each time.
     def unwrap(t: Column) -> Column:
-        fenced = t.rlike(_FENCE_OPENING) & t.endswith("```")
-        body = F.regexp_replace(F.substring(t, F.lit(1), F.length(t) - 3), _FENCE_OPENING, "")
-        return F.when(fenced, strip_space(body)).otherwise(t)
+        opening = F.regexp_extract(t, _FENCE_OPENING, 0)
+        start = F.length(opening) + 1
+        body = F.substring(t, start, F.length(t) - F.length(opening) - len(FENCE))
+        fenced = t.startswith(FENCE) & t.endswith(FENCE)
+        return F.when(fenced, F.when(opening != "", strip_space(body)).otherwise(t)).otherwise(t)
 
     return F.get(F.transform(F.array(text), unwrap), F.lit(0))
 

@@ -2,7 +2,7 @@
 
 ``percentile`` keeps every distinct value of a group in one reducer's memory.
 That is the quickest way while the largest group is small, so its size is
-counted first (one column, partial aggregation, one number to the driver).
+counted first (no value is read, one number reaches the driver).
 Beyond the limit the values are counted in a distributed way, and the wanted
 ranks are located in two histogram steps:
 
@@ -78,23 +78,25 @@ def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     )
 
 
-def largest_group(df: DataFrame, column: str, by: Sequence[str] = ()) -> int:
-    """Number of values in the largest group; an eager count of one number."""
-    present = df.where(F.col(column).isNotNull())
+def largest_group(df: DataFrame, by: Sequence[str] = ()) -> int:
+    """Rows of the largest group; one number, counted eagerly.
+
+    An upper bound of the values it holds that does not read the values.
+    """
     if by:
-        sizes = present.groupBy(*by).agg(F.count(F.lit(1)).alias("size"))
+        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("size"))
         return sizes.agg(F.max("size")).first()[0] or 0
-    return present.count()
+    return df.count()
 
 
-def quantile_method(df: DataFrame, column: str, by: Sequence[str] = ()) -> str:
+def quantile_method(df: DataFrame, by: Sequence[str] = ()) -> str:
     """``gathered`` or ``distributed``, by the size of the largest group.
 
     The answer also holds for any subset of ``df``, so a caller that measures
     a table before and after removing rows needs to ask only once.
     """
     limit = GATHER_LIMIT_PER_GROUP if by else GATHER_LIMIT
-    return "gathered" if largest_group(df, column, by) <= limit else "distributed"
+    return "gathered" if largest_group(df, by) <= limit else "distributed"
 
 
 def exact_quantiles(
@@ -113,7 +115,7 @@ def exact_quantiles(
     or ``distributed``; all return the same quantiles.
     """
     if method == "auto":
-        method = quantile_method(df, column, by)
+        method = quantile_method(df, by)
     if method == "gathered":
         return _gathered(df, column, probabilities, by, count_as)
     if method == "distributed":
@@ -122,12 +124,13 @@ def exact_quantiles(
 
 
 def _gathered(df, column, probabilities, by, count_as) -> DataFrame:
+    # NULLs are skipped by the aggregate; a filter would compute the value twice.
     value = F.col(column).cast("double")
-    found = (
-        df.where(value.isNotNull())
-        .groupBy(*by)
-        .agg(F.percentile(value, list(probabilities.values())).alias("q"), F.count(value).alias("n"))
+    found = df.groupBy(*by).agg(
+        F.percentile(value, list(probabilities.values())).alias("q"), F.count(value).alias("n")
     )
+    if by:
+        found = found.where("n > 0")
     outputs = [F.get("q", F.lit(i)).alias(alias) for i, alias in enumerate(probabilities)]
     if count_as:
         outputs.append(F.col("n").alias(count_as))

@@ -71,7 +71,7 @@ def _staged_and_cleaned(spark, folder, closed=False, rules=cleaning.REFERENCE_RU
     cleaning never adds rows, so one size check serves both.
     """
     staged = written(sales_staged(spark, folder, closed), "staged")
-    method = quantile_method(staged, "unit_price")
+    method = quantile_method(staged)
     cleaned = written(cleaning.clean(staged, cleaning.with_rules(rules, method=method)), "cleaned")
     return staged, cleaned, method
 
@@ -505,7 +505,7 @@ def gates_lineitem_row_loss(spark, folder):
     """Row loss of two keys over the same table: one within the limit, one beyond."""
     lineitem = read_table(spark, folder, "lineitem").withColumnRenamed("l_extendedprice", "price")
 
-    method = quantile_method(lineitem, "price")
+    method = quantile_method(lineitem)
 
     def judged(key):
         keys = ["l_orderkey", key]

@@ -27,7 +27,7 @@ def evidence_tables(
 ) -> dict[str, DataFrame]:
     flags = seasonality_flags(seasonality(staged, start, end))
     drift = label_drift(staged)
-    method = quantile_method(staged, "unit_price")  # a cleaning only removes rows
+    method = quantile_method(staged)  # a cleaning only removes rows
     before, after = table_metrics(staged, method=method), table_metrics(cleaned, method=method)
     shown = flags if days is None else flags.where(F.col("d").isin(*[F.lit(d).cast("date") for d in days]))
     return {
