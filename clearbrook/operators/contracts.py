@@ -53,17 +53,29 @@ def enforce_contract(df: DataFrame, rules: Mapping[str, Column] | None = None, k
         raise ContractViolation("; ".join(f"{r['rule']}: {r['violations']}" for r in broken))
 
 
-def new_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def new_rows(
+    existing: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS, range_key: str | None = "date_parsed"
+) -> DataFrame:
     """Rows of a batch whose key is not loaded yet, one per key.
 
     Both sides are reduced to one row per key before they meet, so no key is
     heavy in the join.  As under a unique constraint, an incomplete key never
     equals another and always passes.
+
+    ``range_key`` is a key column that batches cover only a stretch of, such as
+    the day: existing rows outside the batch's stretch cannot match and are
+    skipped by the scan, so a load costs what the batch costs, not what the
+    history costs.
     """
     unique = dedupe(batch, keys, null_keys="keep")
+    if range_key in keys:
+        span = batch.agg(F.struct(F.min(range_key).alias("first"), F.max(range_key).alias("last"))).scalar()
+        existing = existing.where(F.col(range_key).between(span["first"], span["last"]))
     return unique.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def idempotent_append(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def idempotent_append(
+    existing: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS, range_key: str | None = "date_parsed"
+) -> DataFrame:
     """Existing rows and the new ones; loading a batch twice changes nothing."""
-    return existing.unionByName(new_rows(existing, batch, keys).select(*existing.columns))
+    return existing.unionByName(new_rows(existing, batch, keys, range_key).select(*existing.columns))

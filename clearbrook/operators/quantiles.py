@@ -165,6 +165,8 @@ def _distributed(df, column, probabilities, by, count_as) -> DataFrame:
             )
     wanted = _wanted_inside(F.array(*ranks), F.col("before"), F.col("bc"))
     chosen = buckets.select(*by, "b", "low", "high", "n", wanted.alias("ranks")).where(F.size("ranks") > 0)
+    if not by:
+        chosen = F.broadcast(chosen)  # at most two buckets per probability
 
     # Step 3: the same inside the chosen buckets, by equal-width slices.
     inside = (
@@ -179,6 +181,8 @@ def _distributed(df, column, probabilities, by, count_as) -> DataFrame:
     slices = slices.withColumn("before", F.sum("sc").over(upto) - F.col("sc"))
     wanted = _wanted_inside(F.col("ranks"), F.col("before"), F.col("sc"))
     slices = slices.select(*by, "b", "s", "n", wanted.alias("ranks")).where(F.size("ranks") > 0)
+    if not by:
+        slices = F.broadcast(slices)  # at most two slices per probability
 
     # Step 4: rank the few values left.
     values = inside.drop("n", "ranks")

@@ -118,6 +118,11 @@ def dry_run(
     return DryRun(True, None, guard, before, after, sample, keep)
 
 
+def simulate_before_after_metrics(staged: DataFrame, patch: Patch, **options) -> dict:
+    """Metrics of both sides of a dry run, for callers that need nothing else."""
+    return dry_run(staged, patch, **options).metrics()
+
+
 @dataclass
 class Choice:
     name: str | None

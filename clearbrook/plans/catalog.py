@@ -34,7 +34,8 @@ from clearbrook.sources.files import (
     write_csv,
     write_json_records,
 )
-from clearbrook.sources.sales import sales_raw, sales_staged
+from clearbrook.sources.ingest import ingest
+from clearbrook.sources.sales import SALES_RAW_SQL, sales_raw, sales_staged
 from clearbrook.streaming import dedupe_stream, start_contract_stream, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +130,15 @@ def raw_roundtrip(spark, folder):
     return written(sales_raw(spark, folder), "raw")
 
 
+@query
+def ingest_csv(spark, folder):
+    """CSV file to raw table to staged rows."""
+    path = scratch_path(spark, "csv-sales")
+    write_csv(sales_raw(spark, folder), path)
+    name = uuid.uuid4().hex
+    return rounded(ingest(spark, path, f"{_database(spark)}.sales", f"staged_{name}"))
+
+
 @query
 def csv_scan_lenient(spark, folder):
     """Good lines, lines that miss a field and lines with one too many; only good ones return."""
@@ -823,8 +833,6 @@ def outliers_vs_median_lineitem(spark, folder):
 
 
 def _sales_stream(spark, folder) -> DataFrame:
-    from clearbrook.sources.sales import SALES_RAW_SQL
-
     events = stream_table(spark, folder, "events")
     return stage_sales(spark.sql(SALES_RAW_SQL.replace("FROM events", "FROM {events}"), events=events))
 

@@ -265,6 +265,7 @@ SELECT o_orderkey, lower(replace(replace(o_orderpriority, '-', '_'), ' ', '_'))
         "composite_keys": over_sales("""
 SELECT product_id, order_id || '|' || CAST(date_parsed AS VARCHAR) AS row_key, order_id || '|' || customer_id AS customer_key
 FROM stg"""),
+        "ingest_csv": over_sales(f"SELECT {STG_COLUMNS} FROM stg"),
         "raw_roundtrip": over_sales(f"SELECT {raw} FROM sales_raw"),
         "csv_scan_lenient": over_sales(f"SELECT {raw} FROM sales_raw"),
     }
