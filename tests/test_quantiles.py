@@ -61,18 +61,24 @@ def test_empty_input_gives_one_row_of_nulls(spark, method):
     assert row["n"] == 0 and all(row[p] is None for p in PROBABILITIES)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=60))
-def test_both_ways_agree_with_brute_force(spark, values):
-    frame = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3)
-    ordered = sorted(values)
+@settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=60), min_size=5, max_size=40
+    )
+)
+def test_both_ways_agree_with_brute_force(spark, groups):
+    rows = [(g, float(v)) for g, values in enumerate(groups) for v in values]
+    frame = spark.createDataFrame(rows, "g int, v double").repartition(3)
     for method in ("gathered", "distributed"):
-        row = exact_quantiles(frame, "v", PROBABILITIES, method=method).first()
-        for name, p in PROBABILITIES.items():
-            position = p * (len(ordered) - 1)
-            low, high = ordered[math.floor(position)], ordered[math.ceil(position)]
-            want = low + (high - low) * (position - math.floor(position))
-            assert math.isclose(row[name], want, rel_tol=1e-9, abs_tol=1e-9 * max(1.0, abs(low), abs(high)))
+        found = {r["g"]: r for r in exact_quantiles(frame, "v", PROBABILITIES, ["g"], method=method).collect()}
+        for g, values in enumerate(groups):
+            ordered = sorted(values)
+            for name, p in PROBABILITIES.items():
+                position = p * (len(ordered) - 1)
+                low, high = ordered[math.floor(position)], ordered[math.ceil(position)]
+                want = low + (high - low) * (position - math.floor(position))
+                assert math.isclose(found[g][name], want, rel_tol=1e-9, abs_tol=1e-9 * max(1.0, abs(low), abs(high)))
 
 
 def test_size_check_chooses_the_way(spark, monkeypatch):
