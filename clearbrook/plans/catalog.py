@@ -756,11 +756,11 @@ def sanitize_artifacts(spark, folder):
 
 
 SQL_TEMPLATES = (
-    "CREATE OR REPLACE TABLE gold.sales_clean AS SELECT order_id, channel_norm AS channel, ROW_NUMBER() OVER (ORDER BY order_id) AS rn FROM stg.sales",
-    "DROP TABLE stg.sales; UPDATE raw.sales SET unit_price = 0",
-    "create or replace table gold.sales_clean as select order_id, channel, row_number() over (order by created_at desc) rn from stg.sales",
-    "DROP TABLE IF EXISTS raw.sales",
-    "ALTER TABLE raw.sales ADD COLUMN updated_at DATE; DELETE FROM stg.sales",
+    "CREATE OR REPLACE TABLE gold.sales_clean AS SELECT store_id, channel_norm AS channel, ROW_NUMBER() OVER (ORDER BY quantity) AS place FROM stg.sales",
+    "DROP VIEW stg.returns; UPDATE raw.visits SET quantity = 1",
+    "create or replace table gold.sales_clean as select product_id, channel, row_number() over (partition by store_id order by created_at) from stg.sales",
+    "DROP TABLE IF EXISTS raw.visits",
+    "ALTER TABLE raw.visits ADD COLUMN updated_at DATE; DELETE FROM stg.returns",
     "CREATE VIEW stg.other AS SELECT 1; ATTACH 'x.db'",
     "SELECT s.channel, ingested_at FROM stg.sales s",
     "COPY (SELECT * FROM stg.sales) TO '/tmp",

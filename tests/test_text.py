@@ -17,7 +17,7 @@ def column(spark, texts, expression):
 
 
 FENCES = [
-    ("```sql\nSELECT 1;\n```", "SELECT 1;"), ("  SELECT 1;\n", "SELECT 1;"), (None, ""), ("", ""), ("```\n```", ""),
+    ("```sql\nVALUES (2)\n```", "VALUES (2)"), ("  SELECT 1;\n", "SELECT 1;"), (None, ""), ("", ""), ("```\n```", ""),
     ("```json\n```sql\n```\nx\n```\n```\n```", "x"), ("```a\n```b\n```c\n```d\nx\n```\n```\n```\n```", "```d\nx\n```"),
     ("```json {}```", "```json {}```"), ("````\nx\n````", "````\nx\n````"), ("```c++ \n\n  x  \n\n```\u00a0", "x"),
     ("text ```\nx\n```", "text ```\nx\n```"), ("```\nx\n``` tail", "```\nx\n``` tail"), ("\x1f\u3000x\x85", "x"), ("```", "```"),
@@ -30,8 +30,8 @@ def test_fences(spark):
 
 
 JSON = [
-    ('```json\n{"findings": [], "notes": "ok"}\n```', {"findings": [], "notes": "ok"}),
-    ('Segue:\n```json\n{"tasks": [{"id": "A1"}]}\n```\nfim', {"tasks": [{"id": "A1"}]}),
+    ('```json\n{"rows": [3], "ok": true}\n```', {"rows": [3], "ok": True}),
+    ('Below:\n```json\n{"steps": [{"no": 7}]}\n```\nregards', {"steps": [{"no": 7}]}),
     ('{"a":1} tail', {"a": 1}), ('[{"a":1},{"b":2}] x', {"a": 1}), ('[{"a":1},{"b":2}]', [{"a": 1}, {"b": 2}]),
     ('[1, 2] x', [1, 2]), ("{bad} [3] x", [3]), ('x {"t":"}{\\"]"} y', {"t": '}{"]'}), ("12", 12), (' "s" ', "s"), ("true", True),
     ("{'a': 1}", ...), ("{bad}", ...), ("prose", ...), ("", ...), (None, ...), ("{", ...), ("[1, {]", ...), ("{bad} {\"a\":1}", ...),
