@@ -140,3 +140,4 @@ SAMPLE_ROWS = 5
 
 # --- fixed values: fallback record ------------------------------------------
 FALLBACK_REASON_FAILED = "patch gerado pelo agente não executou em dry-run"
+FALLBACK_REASON_MISSING = "patch do agente não foi gerado"

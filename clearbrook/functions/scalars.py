@@ -30,7 +30,10 @@ def _numeric_date(text: Column, fmt: str) -> Column | None:
         return None
     shape = "^" + "".join(_DATE_PIECES.get(p) or re.escape(p) for p in pieces) + "$"
     place = {p[0]: i + 1 for i, p in enumerate(letters)}
-    iso = F.regexp_replace(text, shape, f"${place['y']}-${place['M']}-${place['d']}")
+    if list(place) == ["y", "M", "d"] and all(len(p) == 1 for p in pieces if p not in letters):
+        iso = F.translate(text, "".join(p for p in pieces if p not in letters), "--")
+    else:
+        iso = F.regexp_replace(text, shape, f"${place['y']}-${place['M']}-${place['d']}")
     return F.when(text.rlike(shape), iso.try_cast("date"))
 
 

@@ -10,7 +10,15 @@ from dataclasses import dataclass, field
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from clearbrook.fixed_values import GOLD_TABLE, READONLY_MESSAGE, READONLY_ROWS, SAMPLE_ROWS, STAGING_TABLE
+from clearbrook.fixed_values import (
+    FALLBACK_REASON_FAILED,
+    FALLBACK_REASON_MISSING,
+    GOLD_TABLE,
+    READONLY_MESSAGE,
+    READONLY_ROWS,
+    SAMPLE_ROWS,
+    STAGING_TABLE,
+)
 from clearbrook.functions.sqltext import audit_one
 from clearbrook.operators.profile import table_metrics
 from clearbrook.operators.publish import ensure_databases
@@ -134,6 +142,22 @@ class Choice:
         rows = [(name, False, reason) for name, reason in self.rejected.items()]
         return rows + ([(self.name, True, None)] if self.name else [])
 
+    def notice(self) -> dict | None:
+        """Record of a fallback; None when the first candidate was taken.
+
+        Tells a candidate that was never produced from one that failed.
+        """
+        if not self.rejected:
+            return None
+        return {
+            "fallback_acionado": True,
+            "motivo": {
+                name: FALLBACK_REASON_MISSING if reason == "missing" else f"{FALLBACK_REASON_FAILED}: {reason}"
+                for name, reason in self.rejected.items()
+            },
+            "patch_efetivo": self.name,
+        }
+
 
 def first_viable(staged: DataFrame, candidates: Sequence[tuple[str, Patch | None]], **options) -> Choice:
     """The first candidate that runs in the sandbox; why each earlier one did not.

@@ -856,4 +856,4 @@ def stream_contract(spark, folder):
     target, rejected, checkpoint = (scratch_path(spark, label) for label in ("loaded", "rejected", "load-state"))
     stream = _sales_stream(spark, folder)
     start_contract_stream(stream, target, rejected, checkpoint).awaitTermination()
-    return rounded(spark.read.parquet(target).drop("batch"))
+    return rounded(spark.read.parquet(target).drop("load", "batch"))

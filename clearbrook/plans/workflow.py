@@ -64,6 +64,7 @@ def apply_patch(
         "before_after": run.metrics(),
         "applied": False,
         "forced": False,
+        "require_human_approval": True,
         "gates": None,
         "decision": DECISION_REVIEW,
     }
@@ -103,4 +104,9 @@ def run_workflow(
     report = apply_patch(
         staged, patch, target, approve=approve, force=force, name=choice.name or "none", run=run, **options
     )
-    return {"baseline": baseline_checks(staged).first().asDict(), "fallback": choice.records(), **report}
+    return {
+        "baseline": baseline_checks(staged).first().asDict(),
+        "fallback": choice.records(),
+        "fallback_notice": choice.notice(),
+        **report,
+    }

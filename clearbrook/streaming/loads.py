@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clearbrook.fixed_values import KEYS
 from clearbrook.operators.contracts import new_rows, sales_rules
+from clearbrook.operators.dedupe import dedupe
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,32 +27,42 @@ def dedupe_stream(
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def _with_place(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("load", T.StringType()), T.StructField("batch", T.LongType())])
+
+
 def start_contract_stream(
     stream: DataFrame, target: str, rejected: str, checkpoint: str,
     rules: Mapping[str, Column] | None = None, keys: Sequence[str] = KEYS,
 ) -> StreamingQuery:
     """Append good new rows to ``target``, set rows that break a rule aside.
 
-    Each micro-batch goes to a folder of its own number, so a batch that runs
-    again after a failure replaces what it wrote the first time.  Keys already
-    loaded by earlier batches are skipped.
+    Each micro-batch goes to a folder of its own, named by the checkpoint and
+    the batch number: a batch that runs again after a failure replaces what it
+    wrote the first time, and streams with other checkpoints write beside it.
+    Keys that any other batch has loaded are skipped.
     """
     rules = sales_rules() if rules is None else rules
+    load_id = f"load-{hashlib.md5(checkpoint.encode()).hexdigest()}"
 
     def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         broken = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))
         judged = batch.withColumn("broken_rules", broken).persist()
         try:
-            judged.where(F.size("broken_rules") > 0).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+            place = f"load={load_id}/batch={number}"
+            judged.where(F.size("broken_rules") > 0).write.mode("overwrite").parquet(f"{rejected}/{place}")
             good = judged.where(F.size("broken_rules") == 0).drop("broken_rules")
-            if number == 0:
-                loaded = good.limit(0)
+            try:
+                this_batch = (F.col("load") == load_id) & (F.col("batch") == number)
+                loaded = spark.read.schema(_with_place(batch.schema)).parquet(target).where(~this_batch)
+            except AnalysisException as problem:
+                if problem.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                good_new = dedupe(good, keys, null_keys="keep")
             else:
-                loaded = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).parquet(target).where(
-                    F.col("batch") < number
-                )
-            new_rows(loaded, good, keys).write.mode("overwrite").parquet(f"{target}/batch={number}")
+                good_new = new_rows(loaded, good, keys)
+            good_new.write.mode("overwrite").parquet(f"{target}/{place}")
         finally:
             judged.unpersist()
 

@@ -234,5 +234,6 @@ def test_whole_workflow(spark, folder):
     )
     assert report["baseline"]["n_rows"] == 999 and report["applied"] and report["patch"] == "reference"
     assert [(name, chosen) for name, chosen, _ in report["fallback"]] == [("agent", False), ("reference", True)]
+    assert report["fallback_notice"]["patch_efetivo"] == "reference" and "no_such_column" in report["fallback_notice"]["motivo"]["agent"]
     assert metrics_nonnull_price(spark.table("flow.sales_clean")).first()["dup_est"] == 0
     assert set(table_metrics(spark.table("flow.sales_clean")).columns) == {f.name for f in METRICS_SCHEMA}
