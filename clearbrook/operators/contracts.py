@@ -64,8 +64,8 @@ def new_rows(
 
     ``range_key`` is a key column that batches cover only a stretch of, such as
     the day: existing rows outside the batch's stretch cannot match and are
-    skipped by the scan, so a load costs what the batch costs, not what the
-    history costs.
+    left out.  Where the history is partitioned by that column the scan skips
+    whole partitions, and a load costs what the batch costs.
     """
     unique = dedupe(batch, keys, null_keys="keep")
     if range_key in keys:
