@@ -229,8 +229,9 @@ def test_missing_tables_say_what_to_do(spark, tmp_path):
 
 
 def test_whole_workflow(spark, folder):
+    broken = BROKEN_PATCH_SQL.replace("gold.sales_clean", "flow.sales_clean")
     report = run_workflow(
-        sales_raw(spark, folder, closed=True), [("agent", BROKEN_PATCH_SQL)], "flow.sales_clean", approve=True
+        sales_raw(spark, folder, closed=True), [("agent", broken)], "flow.sales_clean", approve=True
     )
     assert report["baseline"]["n_rows"] == 999 and report["applied"] and report["patch"] == "reference"
     assert [(name, chosen) for name, chosen, _ in report["fallback"]] == [("agent", False), ("reference", True)]
