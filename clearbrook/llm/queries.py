@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from clearbrook.llm import packing, quality, tokencount
+from clearbrook.llm import licenses, packing, quality, simhash, tokencount
 from clearbrook.llm.common import read, ship
 
 
+def op2_simhash_near_duplicates(spark, folder):
+    ship(spark)
+    return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+def op4_license_scan(spark, folder):
+    ship(spark)
+    return licenses.license_scan(read(spark, folder, "documents"))
+
+
 def op7_token_counts(spark, folder):
     ship(spark)
     return tokencount.token_counts(read(spark, folder, "documents"))
@@ -21,5 +31,5 @@ def op9_packing(spark, folder):
     return packing.pack(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts, op8_quality_rules, op9_packing)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_duplicates, op4_license_scan, op7_token_counts, op8_quality_rules, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}
