@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from clearbrook.llm import licenses, packing, quality, simhash, tokencount
+from clearbrook.llm import licenses, packing, pii, quality, secrets, simhash, tokencount
 from clearbrook.llm.common import read, ship
 
 
+def op1_secret_scan(spark, folder):
+    return secrets.secret_scan(read(spark, folder, "documents"))
+
+
 def op2_simhash_near_duplicates(spark, folder):
     ship(spark)
     return simhash.near_duplicates(read(spark, folder, "documents"))
@@ -31,5 +35,9 @@ def op9_packing(spark, folder):
     return packing.pack(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_duplicates, op4_license_scan, op7_token_counts, op8_quality_rules, op9_packing)}
+def op10_personal_data(spark, folder):
+    return pii.personal_data(read(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash_near_duplicates, op4_license_scan, op7_token_counts, op8_quality_rules, op9_packing, op10_personal_data)}
 ORACLE_SQL: dict[str, str] = {}
