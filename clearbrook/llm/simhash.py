@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,12 +76,9 @@ def links(prints: DataFrame) -> DataFrame:
             half.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)))
         ).alias("key"),
     )
-    shared = keep(
-        index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high")).where("n > 1"),
-        "signatures",
-    )
-    twos = shared.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
-    members = index.join(shared.where("n > 2").select("key", "n"), "key")
+    # One shuffle of the index; only signatures that at least two fingerprints share go on, which are few.
+    counted = index.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
+    members = keep(counted, "signatures")
     few = members.where(F.col("n") <= PAIRED).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("all"))
     pairs = few.select(F.col("all"), F.posexplode("all").alias("at", "u")).select(
         "u", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("v")
@@ -91,9 +88,9 @@ def links(prints: DataFrame) -> DataFrame:
     variants = many.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"))
     centres = variants.groupBy("variant").agg(F.min("fp").alias("u"), F.count("*").alias("n")).where("n > 1")
     stars = variants.join(centres, "variant").select("u", F.col("fp").alias("v"))
-    found = twos.union(pairs).union(stars).where((F.col("u") != F.col("v")) & _near("u", "v")).distinct()
+    found = pairs.union(stars).where((F.col("u") != F.col("v")) & _near("u", "v")).distinct()
     found = keep(found, "links")
-    discard(shared)
+    discard(members)
     return found
 
 
