@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from clearbrook.llm import chat, licenses, packing, pii, quality, secrets, simhash, tokencount
+from clearbrook.llm import chat, licenses, packing, pii, quality, repeats, secretscan, simhash, tokencount
 from clearbrook.llm.common import read, ship
 
 
 def op1_secret_scan(spark, folder):
-    return secrets.secret_scan(read(spark, folder, "documents"))
+    return secretscan.secret_scan(read(spark, folder, "documents"))
 
 
 def op2_simhash_near_duplicates(spark, folder):
@@ -31,6 +31,11 @@ def op5_chat_format(spark, folder):
     return chat.read_back(chat.format_chats(turns, "conv_id", "turn"), "conv_id")
 
 
+def op6_line_dedup(spark, folder):
+    ship(spark)
+    return repeats.line_dedup(read(spark, folder, "documents"))
+
+
 def op7_token_counts(spark, folder):
     ship(spark)
     return tokencount.token_counts(read(spark, folder, "documents"))
@@ -50,7 +55,7 @@ def op10_personal_data(spark, folder):
     return pii.personal_data(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash_near_duplicates, op4_license_scan, op5_chat_format, op7_token_counts, op8_quality_rules, op9_packing, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash_near_duplicates, op4_license_scan, op5_chat_format, op6_line_dedup, op7_token_counts, op8_quality_rules, op9_packing, op10_personal_data)}
 def _escaped(text: str) -> str:
     for control, written in chat.ESCAPES:
         text = f"replace({text}, '{control}', '{written}')"
