@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clearbrook.llm import chat, licenses, packing, pii, quality, repeats, secretscan, simhash, tokencount
+from clearbrook.llm import chat, decontaminate, licenses, packing, pii, quality, repeats, secretscan, simhash, tokencount
 from clearbrook.llm.common import read, ship
 
 
@@ -15,6 +15,10 @@ def op2_simhash_near_duplicates(spark, folder):
     return simhash.near_duplicates(read(spark, folder, "documents"))
 
 
+def op3_benchmark_decontamination(spark, folder):
+    return decontaminate.decontamination_report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def op4_license_scan(spark, folder):
     ship(spark)
     return licenses.license_scan(read(spark, folder, "documents"))
@@ -55,7 +59,13 @@ def op10_personal_data(spark, folder):
     return pii.personal_data(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash_near_duplicates, op4_license_scan, op5_chat_format, op6_line_dedup, op7_token_counts, op8_quality_rules, op9_packing, op10_personal_data)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan, op2_simhash_near_duplicates, op3_benchmark_decontamination, op4_license_scan, op5_chat_format,
+        op6_line_dedup, op7_token_counts, op8_quality_rules, op9_packing, op10_personal_data,
+    )
+}
 def _escaped(text: str) -> str:
     for control, written in chat.ESCAPES:
         text = f"replace({text}, '{control}', '{written}')"
