@@ -42,7 +42,7 @@ class CleaningRules:
     keep_raw_label: bool = True
     audit_flags: bool = True
     only_positive_prices: bool = False
-    method: str = "auto"
+    method: str = "distributed"
 
 
 REFERENCE_RULES = CleaningRules()

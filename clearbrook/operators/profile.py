@@ -85,7 +85,7 @@ def price_percentiles(
     high: float = P_HIGH,
     by: Sequence[str] = (),
     population: str = "nonnull",
-    method: str = "auto",
+    method: str = "distributed",
 ) -> DataFrame:
     """``p01`` and ``p99`` (or other cut-offs) of all or of the positive values."""
     if population == "positive":
@@ -95,7 +95,7 @@ def price_percentiles(
     return exact_quantiles(df, column, {"p01": low, "p99": high}, by, method=method)
 
 
-def baseline_checks(df: DataFrame, keys: Sequence[str] = KEYS, method: str = "auto") -> DataFrame:
+def baseline_checks(df: DataFrame, keys: Sequence[str] = KEYS, method: str = "distributed") -> DataFrame:
     """The nine-figure baseline record."""
     record = one_row(invalid_counts(df), duplicate_summary(df, keys), price_percentiles(df, method=method))
     return record.select(
@@ -117,7 +117,7 @@ def table_metrics(
     keys: Sequence[str] = KEYS,
     price: str = "unit_price",
     customer: str = "customer_id",
-    method: str = "auto",
+    method: str = "distributed",
 ) -> DataFrame:
     """Metrics that exist on both sides of a cleaning step."""
     chosen = F.col(label) if label else label_column(df)
@@ -136,7 +136,7 @@ def table_metrics(
 
 
 def metrics_nonnull_price(
-    df: DataFrame, keys: Sequence[str] = KEYS, price: str = "unit_price", method: str = "auto"
+    df: DataFrame, keys: Sequence[str] = KEYS, price: str = "unit_price", method: str = "distributed"
 ) -> DataFrame:
     """Rows, duplicates and percentiles over rows that have a price."""
     priced = df.where(F.col(price).isNotNull())

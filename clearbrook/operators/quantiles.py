@@ -1,20 +1,17 @@
-"""Exact interpolated quantiles, with a size check before values meet in one task.
-
-``percentile`` keeps every distinct value of a group in one reducer's memory.
-That is the quickest way while the largest group is small, so its size is
-counted first (no value is read, one number reaches the driver).
-Beyond the limit the values are counted in a distributed way, and the wanted
-ranks are located in two histogram steps:
-
-1. equal values collapse into one counted row (partial aggregation, so a value
-   or a group holding a third of the rows costs no more than any other);
-2. counts per logarithmic bucket, cumulated per group, name the bucket that
-   holds each wanted rank.  Buckets follow the magnitude of a double, so their
-   number per group is bounded whatever the number of rows;
-3. the chosen buckets alone are cut into equal-width slices and located again;
-4. only the values inside the chosen slices are ranked.
-
-The distributed way is one lazy plan; nothing is collected.
+"""Exact interpolated quantiles without gathering the values of a group.
+
+Values are counted in a distributed way and the wanted ranks located step by step:
+
+1. equal values collapse into one counted row (partial aggregation, so a value or a group holding a third of the rows
+   costs no more than any other);
+2. counts per logarithmic bucket, cumulated per group, name the bucket that holds each wanted rank.  Buckets follow the
+   magnitude of a double, so their number per group is bounded whatever the number of rows;
+3. the chosen buckets alone are cut into equal-width slices and located again, and the chosen slices once more;
+4. only the values inside the last slices are ranked.
+
+It is one lazy plan at every size; nothing is counted or collected while it is built.  ``method="gathered"`` takes the
+built-in aggregate instead, which holds every distinct value of a group in one task: for groups that the caller knows
+to be small.  Both interpolate alike, to the last bit.
 """
 
 from __future__ import annotations
@@ -26,13 +23,10 @@ from pyspark.sql import functions as F
 
 from clearbrook.operators.joins import null_safe_join
 
-# ``percentile`` holds one map entry per distinct value: about 100 MB at the
-# limit for a single group, and far less per group where a task meets many.
-GATHER_LIMIT = 1_000_000
-GATHER_LIMIT_PER_GROUP = 100_000
-
 BUCKETS_PER_OCTAVE = 256
-SLICES_PER_BUCKET = 4096
+SLICES = 4096
+# Cuts of a bucket: its width shrinks to 2 ** -32 of the value.
+CUTS = 2
 _OCTAVE_SHIFT = 1080  # log2 of the smallest double is -1074
 _TOP_BUCKET = (_OCTAVE_SHIFT + 1100) * BUCKETS_PER_OCTAVE
 
@@ -52,7 +46,7 @@ def _magnitude_bucket(x: Column) -> Column:
 def _slice(x: Column, low: Column, high: Column) -> Column:
     width = high - low
     share = F.when(width > 0, (x - low) / F.when(width > 0, width))
-    return F.coalesce(F.floor(share * SLICES_PER_BUCKET), F.lit(0)).cast("long")
+    return F.coalesce(F.floor(share * SLICES), F.lit(0)).cast("long")
 
 
 def _window(columns: Sequence[str]):
@@ -78,44 +72,21 @@ def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     )
 
 
-def largest_group(df: DataFrame, by: Sequence[str] = ()) -> int:
-    """Rows of the largest group; one number, counted eagerly.
-
-    An upper bound of the values it holds that does not read the values.
-    """
-    if by:
-        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("size"))
-        return sizes.agg(F.max("size")).first()[0] or 0
-    return df.count()
-
-
-def quantile_method(df: DataFrame, by: Sequence[str] = ()) -> str:
-    """``gathered`` or ``distributed``, by the size of the largest group.
-
-    The answer also holds for any subset of ``df``, so a caller that measures
-    a table before and after removing rows needs to ask only once.
-    """
-    limit = GATHER_LIMIT_PER_GROUP if by else GATHER_LIMIT
-    return "gathered" if largest_group(df, by) <= limit else "distributed"
-
-
 def exact_quantiles(
     df: DataFrame,
     column: str,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
     count_as: str | None = None,
-    method: str = "auto",
+    method: str = "distributed",
 ) -> DataFrame:
     """Linear-interpolated quantiles, one output column per probability.
 
     One row per group with a value (one row in all without ``by``, NULLs when
     there is none).  ``count_as`` names a further column with the number of
-    values.  ``method`` is ``auto`` (see :func:`quantile_method`), ``gathered``
-    or ``distributed``; all return the same quantiles.
+    values.  ``method`` is ``distributed`` or ``gathered``; both return the
+    same quantiles.
     """
-    if method == "auto":
-        method = quantile_method(df, by)
     if method == "gathered":
         return _gathered(df, column, probabilities, by, count_as)
     if method == "distributed":
@@ -169,25 +140,29 @@ def _distributed(df, column, probabilities, by, count_as) -> DataFrame:
         chosen = F.broadcast(chosen)  # at most two buckets per probability
 
     # Step 3: the same inside the chosen buckets, by equal-width slices.
-    inside = (
-        null_safe_join(counts, chosen, [*by, "b"])
-        .withColumn("s", _slice(F.col("x"), F.col("low"), F.col("high")))
-        .drop("low", "high")
-    )
-    slices = inside.groupBy(*by, "b", "s").agg(
-        F.sum("c").alias("sc"), F.first("ranks").alias("ranks"), F.first("n").alias("n")
-    )
-    upto = _window([*by, "b"]).orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slices = slices.withColumn("before", F.sum("sc").over(upto) - F.col("sc"))
-    wanted = _wanted_inside(F.col("ranks"), F.col("before"), F.col("sc"))
-    slices = slices.select(*by, "b", "s", "n", wanted.alias("ranks")).where(F.size("ranks") > 0)
-    if not by:
-        slices = F.broadcast(slices)  # at most two slices per probability
+    place, values = ["b"], counts
+    for cut in range(CUTS):
+        sliced = f"s{cut}"
+        inside = (
+            null_safe_join(values.drop("n", "ranks", "low", "high"), chosen, [*by, *place])
+            .withColumn(sliced, _slice(F.col("x"), F.col("low"), F.col("high")))
+            .drop("low", "high")
+        )
+        slices = inside.groupBy(*by, *place, sliced).agg(
+            F.sum("c").alias("sc"), F.first("ranks").alias("ranks"), F.first("n").alias("n"),
+            F.min("x").alias("low"), F.max("x").alias("high"),
+        )
+        upto = _window([*by, *place]).orderBy(sliced).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        slices = slices.withColumn("before", F.sum("sc").over(upto) - F.col("sc"))
+        wanted = _wanted_inside(F.col("ranks"), F.col("before"), F.col("sc"))
+        chosen = slices.select(*by, *place, sliced, "low", "high", "n", wanted.alias("ranks")).where(F.size("ranks") > 0)
+        if not by:
+            chosen = F.broadcast(chosen)  # at most two slices per probability
+        place, values = [*place, sliced], inside
 
     # Step 4: rank the few values left.
-    values = inside.drop("n", "ranks")
-    final = null_safe_join(values, slices, [*by, "b", "s"])
-    upto = _window([*by, "b", "s"]).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    final = null_safe_join(values.drop("n", "ranks"), chosen.drop("low", "high"), [*by, *place])
+    upto = _window([*by, *place]).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     final = final.withColumn("before", F.sum("c").over(upto) - F.col("c"))
     found = final.select(
         *by, "x", "n",
@@ -201,7 +176,7 @@ def _distributed(df, column, probabilities, by, count_as) -> DataFrame:
         high = F.max(F.when(here & F.col("r.upper"), F.col("x")))
         frac = F.max(F.when(here, F.col("r.frac")))
         # Equal neighbours are returned as they are, so infinities survive too.
-        outputs.append(F.when(low == high, low).otherwise(low + (high - low) * frac).alias(alias))
+        outputs.append(F.when(low == high, low).otherwise((1 - frac) * low + frac * high).alias(alias))
     if count_as:
         outputs.append(F.coalesce(F.max("n"), F.lit(0)).cast("long").alias(count_as))
     return found.groupBy(*by).agg(*outputs) if by else found.agg(*outputs)

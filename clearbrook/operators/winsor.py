@@ -17,7 +17,7 @@ Clamp = Callable[[Column | str, Column, Column], Column]
 
 def winsor_bounds(
     df: DataFrame, column: str = "unit_price", low: float = P_LOW, high: float = P_HIGH,
-    population: str = "positive", by: Sequence[str] = (), method: str = "auto",
+    population: str = "positive", by: Sequence[str] = (), method: str = "distributed",
 ) -> DataFrame:
     return price_percentiles(df, column, low, high, by, population, method)
 
@@ -58,7 +58,7 @@ def with_group_bounds(df: DataFrame, bounds: DataFrame, by: Sequence[str]) -> Da
 def winsorize_by_group(
     df: DataFrame, by: Sequence[str], column: str = "unit_price", output: str | None = None,
     low: float = P_LOW, high: float = P_HIGH, population: str = "nonnull", clamp: Clamp = clip,
-    method: str = "auto",
+    method: str = "distributed",
 ) -> DataFrame:
     """Clamp into the bounds of the row's own group."""
     bounds = winsor_bounds(df, column, low, high, population, by, method)
@@ -75,7 +75,7 @@ def trim_outliers(df: DataFrame, bounds: DataFrame, column: str = "unit_price")
 
 def outliers_vs_median(
     df: DataFrame, by: Sequence[str] = ("product_id",), column: str = "unit_price",
-    factor: float = OUTLIER_MEDIAN_FACTOR, method: str = "auto",
+    factor: float = OUTLIER_MEDIAN_FACTOR, method: str = "distributed",
 ) -> DataFrame:
     """Rows whose value exceeds ``factor`` times the median of their group."""
     positive = df.where(F.col(column) > 0)
@@ -86,7 +86,7 @@ def outliers_vs_median(
 
 def percentile_drift(
     df: DataFrame, day: str = "date_parsed", column: str = "unit_price", period: str = "week",
-    low: float = P_LOW, high: float = P_HIGH, method: str = "auto",
+    low: float = P_LOW, high: float = P_HIGH, method: str = "distributed",
 ) -> DataFrame:
     """Percentiles per calendar period and their change since the previous one."""
     dated = df.where(F.col(day).isNotNull()).withColumn("period", F.date_trunc(period, F.col(day)).cast("date"))

@@ -21,7 +21,6 @@ from clearbrook.functions.sqltext import audit_sql
 from clearbrook.operators import clean as cleaning
 from clearbrook.operators import compare, contracts, drift, gates, profile, publish, sandbox, seasonality, winsor
 from clearbrook.operators.dedupe import dedupe, keep_first
-from clearbrook.operators.quantiles import quantile_method
 from clearbrook.operators.staging import stage_sales
 from clearbrook.plans import evidence, workflow
 from clearbrook.session import scratch_path, scratch_root, written
@@ -66,15 +65,9 @@ def as_text(problems: Column) -> Column:
 
 
 def _staged_and_cleaned(spark, folder, closed=False, rules=cleaning.REFERENCE_RULES):
-    """Both sides of a cleaning as tables, and how to take their quantiles.
-
-    Each side is computed once and read by several metrics afterwards; a
-    cleaning never adds rows, so one size check serves both.
-    """
+    """Both sides of a cleaning as tables, each computed once and read by several metrics afterwards."""
     staged = written(sales_staged(spark, folder, closed), "staged")
-    method = quantile_method(staged)
-    cleaned = written(cleaning.clean(staged, cleaning.with_rules(rules, method=method)), "cleaned")
-    return staged, cleaned, method
+    return staged, written(cleaning.clean(staged, rules), "cleaned")
 
 
 # --- staging ------------------------------------------------------------------
@@ -135,8 +128,7 @@ def ingest_csv(spark, folder):
     """CSV file to raw table to staged rows."""
     path = scratch_path(spark, "csv-sales")
     write_csv(sales_raw(spark, folder), path)
-    name = uuid.uuid4().hex
-    return rounded(ingest(spark, path, f"{_database(spark)}.sales", f"staged_{name}"))
+    return rounded(ingest(spark, path, f"{_database(spark)}.sales"))
 
 
 @query
@@ -471,13 +463,13 @@ def clean_legacy(spark, folder):
 
 
 def _both_metrics(spark, folder, closed=False):
-    staged, cleaned, method = _staged_and_cleaned(spark, folder, closed)
-    return profile.table_metrics(staged, method=method), profile.table_metrics(cleaned, method=method)
+    staged, cleaned = _staged_and_cleaned(spark, folder, closed)
+    return profile.table_metrics(staged), profile.table_metrics(cleaned)
 
 
 def _both_short_metrics(spark, folder, rules=cleaning.REFERENCE_RULES):
-    staged, cleaned, method = _staged_and_cleaned(spark, folder, rules=rules)
-    return profile.metrics_nonnull_price(staged, method=method), profile.metrics_nonnull_price(cleaned, method=method)
+    staged, cleaned = _staged_and_cleaned(spark, folder, rules=rules)
+    return profile.metrics_nonnull_price(staged), profile.metrics_nonnull_price(cleaned)
 
 
 @query
@@ -515,12 +507,10 @@ def gates_lineitem_row_loss(spark, folder):
     """Row loss of two keys over the same table: one within the limit, one beyond."""
     lineitem = read_table(spark, folder, "lineitem").withColumnRenamed("l_extendedprice", "price")
 
-    method = quantile_method(lineitem)
-
     def judged(key):
         keys = ["l_orderkey", key]
-        before = profile.metrics_nonnull_price(lineitem, keys, "price", method)
-        after = profile.metrics_nonnull_price(dedupe(lineitem, keys, "any"), keys, "price", method)
+        before = profile.metrics_nonnull_price(lineitem, keys, "price")
+        after = profile.metrics_nonnull_price(dedupe(lineitem, keys, "any"), keys, "price")
         return gates.gates(before, after, "legacy").select(
             F.lit(key).alias("second_key"), "drop_ratio", "dup_est_to_zero", "drop_ratio_ok"
         )

@@ -9,8 +9,6 @@ from clearbrook.operators.publish import ensure_databases, require_table, write_
 from clearbrook.operators.staging import stage_sales
 from clearbrook.sources.files import read_csv_lenient
 
-STAGING_VIEW = "stg_sales"
-
 
 def load_raw(spark: SparkSession, csv_path: str, table: str = RAW_TABLE, multi_line: bool = False) -> DataFrame:
     """Copy a CSV file into a columnar raw table, replacing the former copy.
@@ -22,13 +20,17 @@ def load_raw(spark: SparkSession, csv_path: str, table: str = RAW_TABLE, multi_l
     return write_table(read_csv_lenient(spark, csv_path, multi_line=multi_line), table)
 
 
-def stage_table(spark: SparkSession, table: str = RAW_TABLE, view: str = STAGING_VIEW) -> DataFrame:
-    """Staged rows of a raw table, also as a temporary view; nothing is stored."""
+def stage_table(spark: SparkSession, table: str = RAW_TABLE, view: str | None = None) -> DataFrame:
+    """Staged rows of a raw table; nothing is stored.
+
+    ``view`` also registers them as a temporary view, which lives as long as the session.
+    """
     staged = stage_sales(require_table(spark, table))
-    staged.createOrReplaceTempView(view)
+    if view:
+        staged.createOrReplaceTempView(view)
     return staged
 
 
-def ingest(spark: SparkSession, csv_path: str, table: str = RAW_TABLE, view: str = STAGING_VIEW) -> DataFrame:
+def ingest(spark: SparkSession, csv_path: str, table: str = RAW_TABLE, view: str | None = None) -> DataFrame:
     load_raw(spark, csv_path, table)
     return stage_table(spark, table, view)

@@ -6,8 +6,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from clearbrook.operators import quantiles
-from clearbrook.operators.quantiles import exact_quantiles, quantile_method
+from clearbrook.operators.clean import clean
+from clearbrook.operators.profile import baseline_checks, table_metrics
+from clearbrook.operators.quantiles import exact_quantiles
 from clearbrook.operators.winsor import (
     outliers_vs_median, percentile_drift, trim_outliers, winsor_bounds, winsorize, winsorize_by_group,
 )
@@ -81,18 +82,33 @@ def test_both_ways_agree_with_brute_force(spark, groups):
                 assert math.isclose(found[g][name], want, rel_tol=1e-9, abs_tol=1e-9 * max(1.0, abs(low), abs(high)))
 
 
-def test_size_check_chooses_the_way(spark, monkeypatch):
-    frame = spark.createDataFrame([(i % 3, float(i)) for i in range(90)], "g long, v double")
-    assert quantile_method(frame) == "gathered" and quantile_method(frame, ["g"]) == "gathered"
-    monkeypatch.setattr(quantiles, "GATHER_LIMIT", 89)
-    monkeypatch.setattr(quantiles, "GATHER_LIMIT_PER_GROUP", 29)
-    assert quantile_method(frame) == "distributed" and quantile_method(frame, ["g"]) == "distributed"
-    plan = exact_quantiles(frame, "v", PROBABILITIES)._jdf.queryExecution().executedPlan().toString()
-    assert "percentile(" not in plan
+def test_both_ways_agree_to_the_last_bit(spark):
+    pick = random.Random(1)
+    rows = [(g, pick.choice([pick.uniform(0, 1e4), pick.gauss(0, 1), 1.7e15 + pick.randrange(10**6)])) for g in range(30) for _ in range(pick.randint(1, 90))]
+    frame = spark.createDataFrame(rows, "g int, v double").repartition(4)
+    ways = [{r["g"]: tuple(r) for r in exact_quantiles(frame, "v", PROBABILITIES, ["g"], "n", m).collect()} for m in ("gathered", "distributed")]
+    assert ways[0] == ways[1]
     with pytest.raises(ValueError):
         exact_quantiles(frame, "v", PROBABILITIES, method="guess")
 
 
+@pytest.mark.parametrize(
+    "build",
+    [clean, baseline_checks, table_metrics, lambda df: winsorize_by_group(df, ["product_id"]), outliers_vs_median],
+    ids=["clean", "baseline_checks", "table_metrics", "winsorize_by_group", "outliers_vs_median"],
+)
+def test_no_job_runs_while_a_plan_is_built(spark, sales, build):
+    frame = sales(("1", "2025-07-01", "S", "P", 10.0))
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        built = build(frame)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+        built.collect()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) != []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_bounds_populations(sales):
     frame = sales(*[(str(i), "2025-07-01", "S", "P", float(i)) for i in range(-10, 101)], ("n", "2025-07-01", "S", "P", None))
     assert winsor_bounds(frame, low=0.0, high=1.0, population="nonnull").first()["p01"] == -10.0

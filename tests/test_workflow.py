@@ -25,7 +25,7 @@ def staged(spark, folder):
 def left_over(spark):
     if not spark.catalog.databaseExists(SANDBOX_DATABASE):
         return []
-    return [t.name for t in spark.catalog.listTables(SANDBOX_DATABASE)]
+    return [t.name for t in spark.catalog.listTables(SANDBOX_DATABASE) if not t.isTemporary]
 
 
 # --- static guardrails --------------------------------------------------------
@@ -194,7 +194,7 @@ def test_failed_gates_stop_an_approved_patch_unless_forced(spark, folder):
     open_labels = sales_staged(spark, folder).persist()
     report = apply_patch(open_labels, clean, "forced.sales_clean", approve=True)
     assert report["decision"] == DECISION_REVIEW and not report["applied"]
-    assert [t.name for t in spark.catalog.listTables("forced")] == []
+    assert [t.name for t in spark.catalog.listTables("forced") if not t.isTemporary] == []
     report = apply_patch(open_labels, clean, "forced.sales_clean", approve=True, force=True)
     assert report["applied"] and report["forced"] and spark.table("forced.sales_clean").count() == 986
     open_labels.unpersist()
