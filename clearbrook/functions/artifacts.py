@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,9 +61,14 @@ def _strip_one_fence(text: Column) -> Column:
 def _json_finder():
     """The vectorised search, self-contained so that workers need no package."""
 
+    def written(value) -> str:
+        text = json.dumps(value, ensure_ascii=False)
+        # Half of a surrogate pair is no character; such texts keep the escapes they came with.
+        return json.dumps(value) if any("\ud800" <= c <= "\udfff" for c in text) else text
+
     def first_json(text: str) -> str | None:
         try:
-            return json.dumps(json.loads(text), ensure_ascii=False)
+            return written(json.loads(text))
         except (ValueError, RecursionError):
             pass
         for opener in "{[":
@@ -71,7 +76,7 @@ def _json_finder():
             if start >= 0:
                 try:
                     value, _ = json.JSONDecoder().raw_decode(text, start)
-                    return json.dumps(value, ensure_ascii=False)
+                    return written(value)
                 except (ValueError, RecursionError):
                     continue
         return None
@@ -96,6 +101,18 @@ def extract_json(text: Column | str) -> Column:
     return _find_json(F.when(promising, clean))
 
 
+#: A number of the kind that the parser of Python reads and that of Spark does not, outside strings.
+_ODD_NUMBERS = r'("(?:[^"\\]|\\.)*+")|-?\b(?:NaN|Infinity)\b'
+
+
+def _checkable(document: Column) -> Column:
+    """The document as strict JSON: NaN and infinities are null, which no check tells from a number."""
+    odd = document.rlike(r"\b(?:NaN|Infinity)\b")
+    # A string is put back as it is; a number is not captured and becomes what follows the empty group.
+    strict = F.regexp_replace(F.regexp_replace(document, F.lit(_ODD_NUMBERS), F.lit("$1\u0000")), '"\u0000', '"')
+    return F.when(odd, F.replace(strict, F.lit("\u0000"), F.lit("null"))).otherwise(document)
+
+
 def _root_type(document: Column) -> Column:
     """Name of the root's type, by its first character."""
     first = F.substring(document, 1, 1)
@@ -119,7 +136,8 @@ def artifact_violations(path: Column | str, document: Column | str) -> Column:
     path, document = as_column(path), as_column(document)
     none = F.array().cast("array<string>")
     root = _root_type(document)
-    keys = F.json_object_keys(document)
+    strict = _checkable(document)
+    keys = F.json_object_keys(strict)
 
     problems = none
     for name, required in REQUIRED_ARTIFACT_KEYS.items():
@@ -130,7 +148,7 @@ def artifact_violations(path: Column | str, document: Column | str) -> Column:
         )
         problems = F.when(path == name, F.when(root == "dict", absent).otherwise(wrong_root)).otherwise(problems)
 
-    variant = F.try_parse_json(F.when(path.endswith(FINDINGS_ARTIFACT) & (root == "dict"), document))
+    variant = F.try_parse_json(F.when(path.endswith(FINDINGS_ARTIFACT) & (root == "dict"), strict))
     findings = F.try_variant_get(variant, "$.findings", "array<variant>")
     empty = F.array(F.concat(path, F.lit(": 'findings' deve ser lista não-vazia")))
 
@@ -176,3 +194,20 @@ def sanitize(path: Column | str, content: Column | str, document: Column | str)
     )
     clean = F.when(content.isNotNull(), F.when(is_json, document).otherwise(F.nullif(text, F.lit(""))))
     return F.struct((F.size(problems) == 0).alias("ok"), problems.alias("problems"), clean.alias("clean"))
+
+
+class SchemaError(ValueError):
+    """Artifacts that do not have the form they must have."""
+
+
+def sanitize_strictly(artifacts: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+    """Path and clean text of all artifacts; an error that names them if any has a problem.
+
+    Problems are counted on Spark; the first few messages reach the driver.
+    """
+    judged = artifacts.select(F.col(path), sanitize(path, content, extract_json(content)).alias("judged"))
+    bad = judged.where(~F.col("judged.ok"))
+    first = [m for row in bad.orderBy(path).limit(5).collect() for m in row["judged"]["problems"]]
+    if first:
+        raise SchemaError("; ".join(first))
+    return judged.select(path, F.col("judged.clean").alias("clean"))

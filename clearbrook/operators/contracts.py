@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,28 +55,37 @@ def enforce_contract(df: DataFrame, rules: Mapping[str, Column] | None = None, k
 
 
 def new_rows(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS, range_key: str | None = "date_parsed"
+    existing: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS, range_key: str | None = "date_parsed",
+    order: str | Sequence[Column] = "payload",
 ) -> DataFrame:
-    """Rows of a batch whose key is not loaded yet, one per key.
+    """Rows of a batch that are not loaded yet: one per complete key, and rows with an incomplete key by content.
 
     Both sides are reduced to one row per key before they meet, so no key is
-    heavy in the join.  As under a unique constraint, an incomplete key never
-    equals another and always passes.
+    heavy in the join.  A row with a NULL key part has no key; its whole
+    content, NULLs equal to each other, tells whether it is loaded, so loading
+    a batch again adds nothing.  Such rows never enter the join on the keys.
 
     ``range_key`` is a key column that batches cover only a stretch of, such as
     the day: existing rows outside the batch's stretch cannot match and are
     left out.  Where the history is partitioned by that column the scan skips
-    whole partitions, and a load costs what the batch costs.
+    whole partitions, and a load costs what the batch costs.  ``order`` is that
+    of :func:`dedupe`.
     """
-    unique = dedupe(batch, keys, null_keys="keep")
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyed, loaded = batch.where(complete), existing.where(complete)
     if range_key in keys:
         span = batch.agg(F.struct(F.min(range_key).alias("first"), F.max(range_key).alias("last"))).scalar()
-        existing = existing.where(F.col(range_key).between(span["first"], span["last"]))
-    return unique.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+        loaded = loaded.where(F.col(range_key).between(span["first"], span["last"]))
+    fresh = dedupe(keyed, keys, order).join(loaded.select(*keys).distinct(), list(keys), "left_anti").select(*batch.columns)
+    unkeyed = batch.where(~complete).subtract(existing.where(~complete).select(*batch.columns))
+    return fresh.unionByName(unkeyed)
 
 
 def idempotent_append(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS, range_key: str | None = "date_parsed"
 ) -> DataFrame:
-    """Existing rows and the new ones; loading a batch twice changes nothing."""
+    """Existing rows and the new ones; loading a batch twice changes nothing.
+
+    A caller with a stored history appends :func:`new_rows` to it instead of writing all of this again.
+    """
     return existing.unionByName(new_rows(existing, batch, keys, range_key).select(*existing.columns))

@@ -34,23 +34,58 @@ class PatchError(ValueError):
     """A patch text that is not one query or one create-table-as-query."""
 
 
+#: Parts of a SQL text that hold no names: strings, quoted names, comments.
+_QUOTED = r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`|--[^\n]*|/\*.*?\*/"""
+#: Functions that call any method of any class by its name.
+_CALLS = re.compile(r"\b(?:try_)?(?:reflect|java_method)\s*\(", re.IGNORECASE)
+
+
+def replace_names(query: str, names: Mapping[str, str]) -> str:
+    """Names of tables replaced where they stand as names.
+
+    Strings, quoted names and comments stay, and so does a name that is the
+    end of a longer one.
+    """
+    for name, other in names.items():
+        pattern = re.compile(rf"({_QUOTED})|(?<![\w.]){re.escape(name)}(?!\w)", re.IGNORECASE | re.DOTALL)
+        query = pattern.sub(lambda m, other=other: m[1] or other, query)
+    return query
+
+
+def _refuse_effects(spark: SparkSession, query: str, allowed: Mapping[str, str]) -> None:
+    """Raise unless the query reads the allowed tables only and calls no method by name.
+
+    The text is parsed, not analysed, so nothing of it has run yet.  Relations
+    by path (``parquet.`/folder` ``) and tables of the catalog are not allowed
+    unless they are given; names that the query defines itself are.
+    """
+    bare = re.sub(_QUOTED, lambda m: f"{m[0].strip('`')} " if m[0][0] == "`" else " ", query, flags=re.DOTALL)
+    if _CALLS.search(bare):
+        raise PatchError("calls of methods by name are not allowed")
+    tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(query).treeString()
+    own = {n.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", tree) for n in names.split(",")}
+    for relation in re.findall(r"UnresolvedRelation \[([^\]]*)\]", tree):
+        if ".".join(relation.split(", ")).lower() not in own | set(allowed):
+            raise PatchError(f"reads {relation.replace(', ', '.')}, which is not one of the given tables")
+
+
 def query_frame(spark: SparkSession, query: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """A frame for a SQL text that can only be a query.
+    """A frame for a SQL text that can only be a query over the given tables.
 
     The text stands in parentheses, where the grammar allows nothing but a
     query: ``WITH ... INSERT`` or a second statement is a syntax error and
-    nothing runs.  Names in ``tables`` mean the given frames.
+    nothing runs.  Names in ``tables`` mean the given frames; no other table
+    or file can be read, and no method called.
     """
-    views = {}
-    for name, frame in (tables or {}).items():
-        view = f"source_{uuid.uuid4().hex}"
-        frame.createOrReplaceTempView(view)
-        views[view] = name
-        query = re.sub(rf"\b{re.escape(name)}\b", view, query, flags=re.IGNORECASE)
+    views = {name: f"source_{uuid.uuid4().hex}" for name in tables or {}}
+    text = f"SELECT * FROM (\n{replace_names(query, views).strip().rstrip(';')}\n)"
+    _refuse_effects(spark, text, {view: name for name, view in views.items()})
+    for name, view in views.items():
+        tables[name].createOrReplaceTempView(view)
     try:
-        return spark.sql(f"SELECT * FROM (\n{query.strip().rstrip(';')}\n)")
+        return spark.sql(text)
     finally:
-        for view in views:  # names are resolved already; the frame no longer needs them
+        for view in views.values():  # names are resolved already; the frame no longer needs them
             spark.catalog.dropTempView(view)
 
 
@@ -118,7 +153,7 @@ def dry_run(
         after = table_metrics(result).first().asDict()
         sample = [row.asDict() for row in result.limit(SAMPLE_ROWS).collect()]
         done = True
-    except (PySparkException, ValueError, TypeError) as problem:
+    except Exception as problem:  # whatever a patch does wrong, or the engine under it, is a value for the caller
         return DryRun(False, f"{type(problem).__name__}: {problem}", guard, before)
     finally:
         if not (done and keep):
@@ -194,7 +229,7 @@ def readonly_records(spark: SparkSession, sql: str, tables: Mapping[str, DataFra
     """As :func:`readonly_query`, with rows or the error as a value."""
     try:
         return {"rows": [row.asDict() for row in readonly_query(spark, sql, tables).collect()]}
-    except PermissionError as refused:
+    except (PermissionError, PatchError) as refused:
         return {"error": str(refused)}
     except PySparkException as problem:
         return {"error": f"{type(problem).__name__}: {problem}"}

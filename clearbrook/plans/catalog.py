@@ -24,6 +24,7 @@ from clearbrook.operators.dedupe import dedupe, keep_first
 from clearbrook.operators.staging import stage_sales
 from clearbrook.plans import evidence, workflow
 from clearbrook.session import scratch_path, scratch_root, written
+from clearbrook.sources import files
 from clearbrook.sources.files import (
     BASELINE_SCHEMA,
     RAW_SALES_COLUMNS,
@@ -35,7 +36,7 @@ from clearbrook.sources.files import (
 )
 from clearbrook.sources.ingest import ingest
 from clearbrook.sources.sales import SALES_RAW_SQL, sales_raw, sales_staged
-from clearbrook.streaming import dedupe_stream, start_contract_stream, stream_table
+from clearbrook.streaming import start_contract_stream, start_dedupe_stream, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,15 +135,35 @@ def ingest_csv(spark, folder):
 @query
 def csv_scan_lenient(spark, folder):
     """Good lines, lines that miss a field and lines with one too many; only good ones return."""
+    return read_csv_lenient(spark, _csv_with_defects(spark, folder), RAW_SALES_COLUMNS)
+
+
+def _csv_with_defects(spark, folder) -> list[str]:
+    """All rows as good lines, and those with a negative quantity also as a short and as a long line."""
     raw = sales_raw(spark, folder)
-    paths = [scratch_path(spark, f"csv-{kind}") for kind in ("good", "short", "long")]
-    write_csv(raw, paths[0])
-    write_csv(raw.where("quantity = '-1'").drop("channel"), paths[1])
-    write_csv(raw.where("quantity = '-1'").withColumn("surplus", F.lit("x")), paths[2])
-    return read_csv_lenient(spark, paths, RAW_SALES_COLUMNS)
+    good, bad = scratch_path(spark, "csv-good"), scratch_path(spark, "csv-bad")
+    write_csv(raw, good)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in RAW_SALES_COLUMNS]
+    short, long = F.concat_ws(",", *fields[:-1]), F.concat_ws(",", *fields, F.lit("x"))
+    lines = raw.where("quantity = '-1'").select(F.explode(F.array(short, long)).alias(",".join(RAW_SALES_COLUMNS)))
+    # One unquoted column whose name is the header and whose values are the lines.
+    as_is = {"quote": "\u0000", "sep": "\u0001", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(header=True, **as_is).csv(bad)
+    return [good, bad]
+
+
+@query
+def csv_rejects(spark, folder):
+    """The lines that the lenient scan skips."""
+    return files.csv_rejects(spark, _csv_with_defects(spark, folder))
 
 
-# --- profile ------------------------------------------------------------------
+@query
+def csv_scan_by_name(spark, folder):
+    """Columns in another order and beside others."""
+    raw, path = sales_raw(spark, folder), scratch_path(spark, "csv-named")
+    write_csv(raw.select(F.lit("x").alias("surplus"), *reversed(RAW_SALES_COLUMNS), F.lit("y").alias("more")), path)
+    return read_csv_lenient(spark, path)
 
 
 @query
@@ -829,15 +850,15 @@ def _sales_stream(spark, folder) -> DataFrame:
 
 @query
 def stream_dedupe(spark, folder):
-    stream = _sales_stream(spark, folder).withColumn("event_time", F.col("date_parsed").cast("timestamp"))
-    target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
-    unique = dedupe_stream(stream, "event_time").select("order_id", "date_parsed")
-    run = (
-        unique.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
-    return spark.read.parquet(target)
+    """Days in no order, one file at a time: as many rows as in one batch."""
+    staged = sales_staged(spark, folder)
+    source, target, checkpoint = (scratch_path(spark, label) for label in ("arrivals", "stream", "stream-state"))
+    # Files by a hash of the day, so that later days come before earlier ones.
+    arrivals = staged.withColumn("arrival", F.coalesce(F.pmod(F.xxhash64("date_parsed"), F.lit(4)), F.lit(0)))
+    arrivals.write.partitionBy("arrival").parquet(source)
+    stream = spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    start_dedupe_stream(stream.select("order_id", "date_parsed"), target, checkpoint).awaitTermination()
+    return spark.read.parquet(target).select("order_id", "date_parsed")
 
 
 @query

@@ -268,6 +268,11 @@ FROM stg"""),
         "ingest_csv": over_sales(f"SELECT {STG_COLUMNS} FROM stg"),
         "raw_roundtrip": over_sales(f"SELECT {raw} FROM sales_raw"),
         "csv_scan_lenient": over_sales(f"SELECT {raw} FROM sales_raw"),
+        "csv_scan_by_name": over_sales(f"SELECT {raw} FROM sales_raw"),
+        "csv_rejects": over_sales("""
+SELECT concat_ws(',', coalesce(order_id, ''), coalesce(date, ''), coalesce(store_id, ''), coalesce(product_id, ''),
+  coalesce(unit_price, ''), coalesce(quantity, ''), coalesce(customer_id, '')) || tail AS line
+FROM (SELECT *, unnest(['', ',' || coalesce(channel, '') || ',x']) AS tail FROM sales_raw WHERE quantity = '-1')"""),
     }
 
 

@@ -49,7 +49,7 @@ def apply_patch(
     """
     spark = staged.sparkSession
     new = f"{target}_new"
-    if run is None:
+    if run is None or (approve and run.executed and not run.table):  # a run that kept no table has nothing to promote
         if approve:
             ensure_databases(spark, target.split(".")[0])
         run = dry_run(staged, patch, source, target, strict, keep=new if approve else None)

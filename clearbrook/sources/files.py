@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,25 +29,60 @@ def text_schema(columns: Sequence[str] = RAW_SALES_COLUMNS) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def _parsed_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool) -> DataFrame:
+    """The wanted columns by the names in the header, and malformed lines as they stand in the file.
+
+    Only the header is read while the plan is made.  Every file's header is
+    compared with it when its lines are read; one that differs is an error.
+    """
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"{path}: columns missing from the header: {', '.join(missing)}")
+    schema = T.StructType([*text_schema(header).fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = (
+        spark.read.schema(schema).options(**options)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("columnPruning", False).option("enforceSchema", False)
+        .csv(path)
+    )
+    # The parser refuses plans that need nothing but the malformed line, so it comes with nothing of the first column.
+    line = F.concat(F.coalesce(F.col(_CORRUPT), F.lit("")), F.substring(F.coalesce(F.col(columns[0]), F.lit("")), 0, 0))
+    return parsed.select(*columns, line.alias(_CORRUPT))
+
+
+def _each(path: str | Sequence[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
 def read_csv_lenient(
-    spark: SparkSession, path: str, columns: Sequence[str] = RAW_SALES_COLUMNS, multi_line: bool = False
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] = RAW_SALES_COLUMNS, multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header, every column as text, short and long lines skipped.
+    """CSV with a header, the named columns as text, short and long lines skipped.
+
+    Columns are found by name, in any order and beside others; a missing one
+    is an error.  Several paths may have different headers.  Skipped lines are
+    what :func:`csv_rejects` returns.
 
     Column pruning is off for the parser: a pruned parse does not notice that
     a line has the wrong number of fields, and counts would depend on which
     columns a query happens to use.  ``multi_line`` allows line breaks inside
     quotes, at the price of files that cannot be split.
     """
-    return (
-        spark.read.schema(text_schema(columns))
-        .option("header", True)
-        .option("mode", "DROPMALFORMED")
-        .option("columnPruning", False)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
+    parts = [_parsed_csv(spark, p, columns, multi_line).where(F.col(_CORRUPT) == "").drop(_CORRUPT) for p in _each(path)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def csv_rejects(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] = RAW_SALES_COLUMNS, multi_line: bool = False
+) -> DataFrame:
+    """The lines that :func:`read_csv_lenient` skips, in ``line``."""
+    parts = [_parsed_csv(spark, p, columns, multi_line).where(F.col(_CORRUPT) != "").select(F.col(_CORRUPT).alias("line")) for p in _each(path)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clearbrook.operators.contracts import ContractViolation, contract_violations, enforce_contract, idempotent_append
-from clearbrook.streaming import dedupe_stream, start_contract_stream, stream_table
+from clearbrook.streaming import dedupe_stream, start_contract_stream, start_dedupe_stream, stream_table
 
 GOOD = ("2025-07-01", "S", "P", 1.0, 1, "C", "online", "Online")
 
@@ -79,3 +79,32 @@ def test_stream_dedupe_over_batches(spark, sales, tmp_path):
 def test_stream_table_has_the_batch_schema(spark, folder):
     stream = stream_table(spark, folder, "events")
     assert stream.isStreaming and stream.columns == spark.read.parquet(f"{folder}/events.parquet").columns
+
+
+def test_rows_with_incomplete_keys_are_known_by_their_content(sales):
+    batch = sales((None, *GOOD), (None, *GOOD), ("5", None, "S", "P", 1.0), (None, None, "S"), (None, None, "T"), ("6", *GOOD))
+    empty = batch.limit(0)
+    once = idempotent_append(empty, batch)
+    assert once.count() == 5
+    assert sorted(map(str, idempotent_append(once, batch).collect())) == sorted(map(str, once.collect()))
+
+
+def test_streams_lose_no_late_row(spark, sales, tmp_path):
+    days = ["2025-07-20", "2025-07-01", "2025-07-02", None, "2025-07-20", None]
+    frame = sales(*[(str(i % 4), d, "S", "P", 1.0) for i, d in enumerate(days)]).repartition(1)
+    with_part = frame.withColumn("part", F.monotonically_increasing_id())
+    written_in_parts(with_part, str(tmp_path / "in"), "part")
+    stream = one_file_per_batch(spark, tmp_path / "in", with_part.schema).drop("part")
+    start_dedupe_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    found = spark.read.schema(frame.schema).parquet(str(tmp_path / "out"))
+    assert sorted(map(str, found.select("order_id", "date_parsed").collect())) == sorted(map(str, frame.select("order_id", "date_parsed").distinct().collect()))
+
+
+def test_a_table_is_streamed_without_its_neighbours(spark, folder, tmp_path):
+    events = spark.read.parquet(f"{folder}/events.parquet").limit(5)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    events.write.parquet(f"{tmp_path}/events.parquet_backup")
+    query = stream_table(spark, str(tmp_path), "events").writeStream.format("memory").queryName("alone").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("alone").count() == 5
+    spark.catalog.dropTempView("alone")

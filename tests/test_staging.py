@@ -8,7 +8,7 @@ from clearbrook.functions.scalars import (
     blank_to_null, composite_key, normalize_label, parse_date, relative_deviation, safe_double, safe_int,
 )
 from clearbrook.sources.files import (
-    read_csv_lenient, read_json_records, read_text_artifacts, text_schema, write_csv, write_json_records,
+    csv_rejects, read_csv_lenient, read_json_records, read_text_artifacts, text_schema, write_csv, write_json_records,
 )
 
 DAY = datetime.date(2025, 7, 5)
@@ -122,3 +122,21 @@ def test_text_files_are_read_whole(spark, tmp_path):
     (tmp_path / "patch.sql").write_text("SELECT 1;\n-- two lines\n")
     row = read_text_artifacts(spark, str(tmp_path)).first()
     assert row["path"].endswith("patch.sql") and row["content"] == "SELECT 1;\n-- two lines\n"
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,c,a\n0,3,1\nshort\n")
+    (tmp_path / "b.csv").write_text("a,c\n4,6\n7,8,9\n")
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    assert sorted(map(tuple, read_csv_lenient(spark, paths, ["a", "c"]).collect())) == [("1", "3"), ("4", "6")]
+    rejects = csv_rejects(spark, paths, ["a", "c"])
+    assert sorted(r["line"] for r in rejects.collect()) == ["7,8,9", "short"] and rejects.count() == 2
+    with pytest.raises(ValueError, match="missing from the header: b"):
+        read_csv_lenient(spark, paths[0], ["a", "b"])
+
+
+def test_files_of_a_folder_have_to_agree(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,c\n1,3\n")
+    (tmp_path / "2.csv").write_text("c,a\n6,4\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv_lenient(spark, str(tmp_path), ["a", "c"]).collect()

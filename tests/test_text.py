@@ -6,7 +6,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from clearbrook.functions.artifacts import artifact_violations, extract_json, sanitize, strip_fences
+from clearbrook.fixed_values import REQUIRED_ARTIFACT_KEYS
+from clearbrook.functions.artifacts import (
+    SchemaError, artifact_violations, extract_json, sanitize, sanitize_strictly, strip_fences,
+)
 
 FINDINGS, PLAN, VALIDATION = "reports/analysis_findings.json", "reports/plan.json", "reports/validation_report.json"
 
@@ -129,3 +132,21 @@ def test_sanitize(spark, path, content, ok, problem, clean):
     frame = spark.createDataFrame([(path, content)], "path string, content string").withColumn("d", extract_json("content"))
     row = frame.select(sanitize("path", "content", "d").alias("s")).first()["s"]
     assert (row["ok"], row["problems"], row["clean"]) == (ok, [f"{path}: {problem}"] if problem else [], clean)
+
+
+def test_odd_characters_and_numbers_stop_nothing(spark):
+    texts = ['{"a":"\\ud800"}', '{"tasks": NaN}', '{"tasks": "NaN, -Infinity", "b":[-Infinity, 1]}', "[NaN]"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", extract_json("t").alias("j"))
+    found = [r["j"] for r in frame.orderBy("i").collect()]
+    assert found == ['{"a": "\\ud800"}', '{"tasks": NaN}', '{"tasks": "NaN, -Infinity", "b": [-Infinity, 1]}', "[NaN]"]
+    name, required = next((n, r) for n, r in REQUIRED_ARTIFACT_KEYS.items() if r)
+    document = "{" + ", ".join(f'"{k}": NaN' for k in required) + "}"
+    problems = spark.createDataFrame([(name, document)], "p string, d string").select(artifact_violations("p", "d").alias("v")).first()["v"]
+    assert not any("ausente" in p for p in problems)
+
+
+def test_strict_sanitizing_names_the_broken_artifacts(spark):
+    good = spark.createDataFrame([("notes.txt", "fine")], "path string, content string")
+    assert sanitize_strictly(good).collect()[0]["clean"] == "fine"
+    with pytest.raises(SchemaError, match="empty.txt"):
+        sanitize_strictly(good.union(spark.createDataFrame([("empty.txt", "")], good.schema)))

@@ -238,3 +238,32 @@ def test_whole_workflow(spark, folder):
     assert report["fallback_notice"]["patch_efetivo"] == "reference" and "no_such_column" in report["fallback_notice"]["motivo"]["agent"]
     assert metrics_nonnull_price(spark.table("flow.sales_clean")).first()["dup_est"] == 0
     assert set(table_metrics(spark.table("flow.sales_clean")).columns) == {f.name for f in METRICS_SCHEMA}
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        "SELECT reflect('java.lang.System', 'setProperty', 'a', 'b')", "SELECT `java_method` ('java.lang.Math', 'abs', -1)",
+        "SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`", "SELECT * FROM x.stg.sales", "SELECT * FROM other",
+        "SELECT (SELECT max(v) FROM other) AS v FROM stg.sales", "WITH a AS (SELECT * FROM other) SELECT * FROM a",
+    ],
+)
+def test_only_given_tables_are_read_and_no_method_called(spark, query):
+    tables = {"stg.sales": spark.range(2)}
+    assert "error" in readonly_records(spark, query, tables)
+    run = dry_run(spark.createDataFrame([], "order_id string, date_parsed date, unit_price double, customer_id string, channel_norm string"), query)
+    assert not run.executed and run.error
+
+
+def test_names_in_strings_and_comments_stay(spark):
+    rows = readonly_records(spark, "SELECT 'see stg.sales' AS a, stg.sales.id FROM stg.sales /* stg.sales */ -- stg.sales", {"stg.sales": spark.range(1)})
+    assert rows == {"rows": [{"a": "see stg.sales", "id": 0}]}
+
+
+@pytest.mark.parametrize("problem", [KeyError("x"), AttributeError("y"), RuntimeError("z")])
+def test_whatever_a_patch_raises_is_a_value(spark, staged, problem):
+    def patch(df):
+        raise problem
+
+    run = dry_run(staged, patch)
+    assert not run.executed and type(problem).__name__ in run.error
