@@ -628,7 +628,7 @@ def _database(spark) -> str:
 def apply_gold_readback(spark, folder):
     target = f"{_database(spark)}.sales_clean"
     staged = written(sales_staged(spark, folder, closed=True), "staged")
-    report = workflow.apply_patch(staged, cleaning.clean, target, approve=True, force=True)
+    report = workflow.apply_patch(staged, cleaning.clean, target, approve=True)
     if not report["applied"]:
         raise RuntimeError(report["notes"])
     return rounded(spark.table(target))
@@ -810,10 +810,11 @@ def contract_violations(spark, folder):
 
 @query
 def idempotent_append(spark, folder):
-    """A load that overlaps the previous one by a day adds only what is new."""
+    """A load that overlaps the previous one by a day, and in all rows without one, adds only what is new."""
     staged = sales_staged(spark, folder)
-    existing = staged.where(F.col("date_parsed") <= F.lit(SPLIT_DAY).cast("date"))
-    batch = staged.where(F.col("date_parsed") >= F.lit(SPLIT_DAY).cast("date"))
+    undated, split = F.col("date_parsed").isNull(), F.lit(SPLIT_DAY).cast("date")
+    existing = staged.where(undated | (F.col("date_parsed") <= split))
+    batch = staged.where(undated | (F.col("date_parsed") >= split))
     return rounded(contracts.idempotent_append(existing, batch))
 
 

@@ -7,8 +7,8 @@ from clearbrook.sources.sales import SALES_RAW_CLOSED_SQL, SALES_RAW_SQL
 
 STAGED = """
   SELECT order_id,
-    coalesce(CAST(try_strptime(date, '%Y-%m-%d') AS DATE), CAST(try_strptime(date, '%d/%m/%Y') AS DATE),
-             CAST(try_strptime(date, '%Y/%m/%d') AS DATE)) AS date_parsed,
+    coalesce(CAST(try_strptime(trim(date), '%Y-%m-%d') AS DATE), CAST(try_strptime(trim(date), '%d/%m/%Y') AS DATE),
+             CAST(try_strptime(trim(date), '%Y/%m/%d') AS DATE)) AS date_parsed,
     store_id, product_id, TRY_CAST(unit_price AS DOUBLE) AS unit_price, TRY_CAST(quantity AS INTEGER) AS quantity,
     nullif(trim(customer_id), '') AS customer_id,
     lower(replace(replace(channel, '-', '_'), ' ', '_')) AS channel_norm, channel AS channel_raw
@@ -250,8 +250,8 @@ def _staging() -> dict[str, str]:
     return {
         "stage_sales_rows": over_sales(f"SELECT {STG_COLUMNS} FROM stg"),
         "parse_dates_multiformat": over_sales("""
-SELECT order_id, date, coalesce(CAST(try_strptime(date, '%Y-%m-%d') AS DATE),
-  CAST(try_strptime(date, '%d/%m/%Y') AS DATE), CAST(try_strptime(date, '%Y/%m/%d') AS DATE)) AS date_parsed
+SELECT order_id, date, coalesce(CAST(try_strptime(trim(date), '%Y-%m-%d') AS DATE),
+  CAST(try_strptime(trim(date), '%d/%m/%Y') AS DATE), CAST(try_strptime(trim(date), '%Y/%m/%d') AS DATE)) AS date_parsed
 FROM sales_raw"""),
         "safe_cast_numeric": over_sales("""
 SELECT order_id, round(TRY_CAST(unit_price AS DOUBLE), 6) AS unit_price, TRY_CAST(quantity AS INTEGER) AS quantity,
@@ -539,13 +539,15 @@ def _extensions() -> dict[str, str]:
         f"SELECT '{name}' AS rule, COUNT(*) AS violations, COUNT(*) = 0 AS holds FROM stg WHERE {bad}" for name, bad in rules.items()
     )
     good = " AND ".join(f"NOT ({bad})" for bad in rules.values())
-    later = KEPT.replace("FROM stg", f"FROM stg WHERE date_parsed > DATE '{SPLIT_DAY}'")
+    later = KEPT.replace("FROM stg", f"FROM stg WHERE date_parsed > DATE '{SPLIT_DAY}' AND order_id IS NOT NULL")
+    unkeyed = f"SELECT DISTINCT {STG_COLUMNS} FROM stg WHERE date_parsed > DATE '{SPLIT_DAY}' AND order_id IS NULL"
     return {
         "contract_violations": over_sales(
             counted + " UNION ALL SELECT 'duplicate_keys', COUNT(*), COUNT(*) = 0 FROM repeated", REPEATED
         ),
         "idempotent_append": over_sales(
-            f"SELECT {STG_COLUMNS} FROM stg WHERE date_parsed <= DATE '{SPLIT_DAY}' UNION ALL SELECT {STG_COLUMNS} FROM kept", later
+            f"SELECT {STG_COLUMNS} FROM stg WHERE date_parsed IS NULL OR date_parsed <= DATE '{SPLIT_DAY}' "
+            f"UNION ALL SELECT {STG_COLUMNS} FROM kept UNION ALL {unkeyed}", later,
         ),
         "percentile_drift": over_sales("""
 SELECT period, n, round(p01, 6) AS p01, round(p99, 6) AS p99,

@@ -1,9 +1,11 @@
 """A raw sales table with known defects, derived from an ``events`` table.
 
 One text serves any SQL engine.  It plants a business drop on 2024-01-09 (rows
-missing, none repeated) and a double ingestion on 2024-01-15, three date
-formats, zero, unreadable and tenfold prices, negative quantities, blank
-customers, eleven known channel spellings and one unknown.
+moved to days two weeks later, none repeated) and a double ingestion on
+2024-01-15, three date formats, padded, missing, unreadable and impossible
+dates, missing and blank orders, zero, unreadable and tenfold prices, negative
+quantities, blank customers, eleven known channel spellings, an unknown, a
+blank and a missing one.
 """
 
 from __future__ import annotations
@@ -15,16 +17,20 @@ from clearbrook.sources.files import read_table
 
 SALES_RAW_SQL = """
 WITH e AS (
-  SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS d, 0 AS copy FROM events
-  WHERE NOT (CAST(ts AS DATE) = DATE '2024-01-09' AND event_id % 5 < 2)
+  SELECT event_id, user_id, event_type, value, 0 AS copy,
+    CASE WHEN CAST(ts AS DATE) = DATE '2024-01-09' AND event_id % 5 < 2
+      THEN CAST(CAST(ts AS DATE) + INTERVAL '14' DAY AS DATE) ELSE CAST(ts AS DATE) END AS d
+  FROM events
   UNION ALL
-  SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS d, 1 AS copy FROM events
+  SELECT event_id, user_id, event_type, value, 1 AS copy, CAST(ts AS DATE) AS d FROM events
   WHERE CAST(ts AS DATE) = DATE '2024-01-15' AND event_id % 2 = 0
 ), s AS (SELECT e.*, CAST(d AS STRING) AS ds FROM e)
 SELECT
-  CAST(event_id AS STRING) AS order_id,
-  CASE event_id % 3 WHEN 0 THEN ds
-    WHEN 1 THEN substr(ds,9,2) || '/' || substr(ds,6,2) || '/' || substr(ds,1,4)
+  CASE WHEN event_id % 163 = 7 THEN NULL WHEN event_id % 167 = 8 THEN ' ' ELSE CAST(event_id AS STRING) END AS order_id,
+  CASE WHEN event_id % 173 = 9 THEN 'soon' WHEN event_id % 179 = 9 THEN '2024-02-30' WHEN event_id % 181 = 9 THEN NULL
+    WHEN event_id % 191 = 9 THEN '  ' || ds || ' '
+    WHEN event_id % 3 = 0 THEN ds
+    WHEN event_id % 3 = 1 THEN substr(ds,9,2) || '/' || substr(ds,6,2) || '/' || substr(ds,1,4)
     ELSE replace(ds,'-','/') END AS date,
   'S' || CAST(user_id % 3 AS STRING) AS store_id,
   'P' || CAST(event_id % 20 AS STRING) AS product_id,
@@ -33,14 +39,20 @@ SELECT
        ELSE CAST(CAST(value AS DECIMAL(12,2)) AS STRING) END AS unit_price,
   CASE WHEN event_id % 301 = 0 THEN '-1' ELSE CAST(1 + event_id % 5 AS STRING) END AS quantity,
   CASE WHEN event_id % 57 = 0 THEN '  ' ELSE 'C' || CAST(user_id AS STRING) END AS customer_id,
-  CASE event_id % 12 WHEN 0 THEN 'market_place' WHEN 1 THEN 'marketplace' WHEN 2 THEN 'MarketPlace'
+  CASE WHEN event_id % 193 = 11 THEN ' ' WHEN event_id % 197 = 11 THEN NULL ELSE CASE event_id % 12 WHEN 0 THEN 'market_place' WHEN 1 THEN 'marketplace' WHEN 2 THEN 'MarketPlace'
     WHEN 3 THEN 'Online' WHEN 4 THEN 'store' WHEN 5 THEN 'In-Store' WHEN 6 THEN 'online'
-    WHEN 7 THEN 'IN_STORE' WHEN 8 THEN 'in_store' WHEN 9 THEN 'on-line' WHEN 10 THEN 'ONLINE' ELSE 'kiosk' END AS channel
+    WHEN 7 THEN 'IN_STORE' WHEN 8 THEN 'in_store' WHEN 9 THEN 'on-line' WHEN 10 THEN 'ONLINE' ELSE 'kiosk' END END AS channel
 FROM s
 """
 
-# The same table without an unknown label, so that every gate can pass.
-SALES_RAW_CLOSED_SQL = SALES_RAW_SQL.replace("ELSE 'kiosk'", "ELSE 'marketplace'")
+# The same table with complete keys, without an unknown label and without a price of zero (which moves the bounds of the
+# positive prices off those of all), so that every gate passes.
+SALES_RAW_CLOSED_SQL = (
+    SALES_RAW_SQL.replace("ELSE 'kiosk'", "ELSE 'marketplace'").replace("event_id % 97 = 0", "FALSE")
+    .replace("ELSE CAST(CAST(value AS", "ELSE CAST(CAST(greatest(value, 0.01) AS")
+    .replace("event_id % 163 = 7", "FALSE").replace("event_id % 173 = 9", "FALSE").replace("event_id % 179 = 9", "FALSE")
+    .replace("event_id % 181 = 9", "FALSE").replace("event_id % 193 = 11", "FALSE").replace("event_id % 197 = 11", "FALSE")
+)
 
 
 def sales_raw(spark: SparkSession, folder: str, closed: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from clearbrook.operators.profile import (
     baseline_checks, duplicate_estimate, duplicate_groups, duplicate_summary, label_column, metrics_nonnull_price,
     stack_metrics, table_metrics,
 )
-from clearbrook.sources.sales import sales_staged
+from clearbrook.sources.sales import sales_raw, sales_staged
 
 D = "2025-07-01"
 
@@ -104,14 +104,14 @@ def test_short_metrics_skip_rows_without_price(sales):
 # Known figures of the two smaller folders.
 GOLDEN = {
     "/root/testdata/sf0.001": {
-        "n_rows": 999, "n_dup_pairs": 13, "n_dup_rows": 26, "n_missing_customer": 17, "n_price_zero_or_null": 14,
-        "n_qty_invalid": 3, "n_date_null": 0, "p01": 0.0282, "p99": 287.4044,
-        "gold": 986, "winsorized": 30, "relabeled": 328, "off_domain": 82,
+        "n_rows": 1013, "n_dup_pairs": 13, "n_dup_rows": 26, "n_missing_customer": 18, "n_price_zero_or_null": 15,
+        "n_qty_invalid": 4, "n_date_null": 16, "p01": 0.0024, "p99": 287.2624,
+        "gold": 1000, "winsorized": 31, "relabeled": 333, "off_domain": 93, "lost_drop_day": 0, "lost_double_day": 13,
     },
     "/root/testdata/sf0.01": {
-        "n_rows": 10031, "n_dup_pairs": 159, "n_dup_rows": 318, "n_missing_customer": 177, "n_price_zero_or_null": 150,
-        "n_qty_invalid": 35, "n_date_null": 0, "p01": 0.0, "p99": 280.8759,
-        "gold": 9872, "winsorized": 292, "relabeled": 3290, "off_domain": 822,
+        "n_rows": 10159, "n_dup_pairs": 212, "n_dup_rows": 432, "n_missing_customer": 179, "n_price_zero_or_null": 152,
+        "n_qty_invalid": 35, "n_date_null": 171, "p01": 0.0, "p99": 280.8025,
+        "gold": 9939, "winsorized": 299, "relabeled": 3329, "off_domain": 921, "lost_drop_day": 0, "lost_double_day": 158,
     },
 }
 
@@ -126,7 +126,24 @@ def test_golden_figures(spark, path):
     assert cleaned.count() == known["gold"]
     assert tuple(audit_flag_totals(cleaned).first()) == (known["winsorized"], known["relabeled"])
     assert cleaned.where(F.col("channel").isNull()).count() == known["off_domain"]
-    # The business drop is left alone; only repeated rows of the double load go.
-    for day, rows_lost in ((datetime.date(2024, 1, 9), 0), (datetime.date(2024, 1, 15), known["n_dup_pairs"])):
+    # The business drop is left alone; repeated rows of the double load go, and rows without an order become one a day.
+    for day, rows_lost in ((datetime.date(2024, 1, 9), known["lost_drop_day"]), (datetime.date(2024, 1, 15), known["lost_double_day"])):
         assert staged.where(F.col("date_parsed") == day).count() - cleaned.where(F.col("date_parsed") == day).count() == rows_lost
     cleaned.unpersist()
+
+
+def test_every_defect_occurs(spark):
+    """Results agree only on what the table holds, so it has to hold each defect."""
+    raw = sales_raw(spark, "/root/testdata/sf0.01")
+    text = lambda c, pattern: F.count_if(F.col(c).rlike(pattern))
+    found = raw.agg(
+        F.count_if(F.col("order_id").isNull()).alias("no_order"), text("order_id", "^ +$").alias("blank_order"),
+        F.count_if(F.col("date").isNull()).alias("no_date"), text("date", "^soon$").alias("unreadable_date"),
+        text("date", "^2024-02-30$").alias("impossible_date"), text("date", "^ .* $").alias("padded_date"),
+        text("unit_price", "^n/a$").alias("unreadable_price"), text("unit_price", "^0$").alias("zero_price"),
+        text("quantity", "^-").alias("negative_quantity"), text("customer_id", "^ +$").alias("blank_customer"),
+        F.count_if(F.col("channel").isNull()).alias("no_label"), text("channel", "^ +$").alias("blank_label"), text("channel", "kiosk").alias("unknown_label"),
+    ).first().asDict()
+    assert all(found.values()), found
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    assert raw.count() == events.count() + events.where("CAST(ts AS DATE) = DATE '2024-01-15' AND event_id % 2 = 0").count()  # nothing is left out

@@ -76,7 +76,7 @@ def test_alias_removal_is_whole_words_only(spark):
 def test_dry_run_measures_and_leaves_nothing(spark, staged):
     run = dry_run(staged, PATCH_SQL)
     assert run.executed and run.error is None, run.error
-    assert run.before["dup_est"] == 13 and run.after["dup_est"] == 0 and run.after["n"] == 986
+    assert run.before["dup_est"] == 13 and run.after["dup_est"] == 0 and run.after["n"] == 1000
     assert run.after["n_channel_off_domain"] == 0 and run.after["n_missing_customer"] == run.before["n_missing_customer"]
     assert len(run.sample) == 5 and left_over(spark) == []
     same = dry_run(staged, clean)
@@ -196,7 +196,7 @@ def test_failed_gates_stop_an_approved_patch_unless_forced(spark, folder):
     assert report["decision"] == DECISION_REVIEW and not report["applied"]
     assert [t.name for t in spark.catalog.listTables("forced") if not t.isTemporary] == []
     report = apply_patch(open_labels, clean, "forced.sales_clean", approve=True, force=True)
-    assert report["applied"] and report["forced"] and spark.table("forced.sales_clean").count() == 986
+    assert report["applied"] and report["forced"] and spark.table("forced.sales_clean").count() == 1000
     open_labels.unpersist()
 
 
@@ -207,16 +207,16 @@ def test_apply_keeps_a_backup_and_a_snapshot(spark, staged, tmp_path):
     report = apply_patch(staged, clean, target, approve=True, snapshot=str(tmp_path / "snapshot"))
     assert report["applied"] and not report["forced"]
     assert report["before_after"]["gold_real"] == report["before_after"]["gold_simulated"]
-    assert require_table(spark, f"{target}_backup").count() == 3 and spark.table(target).count() == 986
-    assert spark.read.option("header", True).csv(report["snapshot"]).count() == 986
+    assert require_table(spark, f"{target}_backup").count() == 3 and spark.table(target).count() == 1000
+    assert spark.read.option("header", True).csv(report["snapshot"]).count() == 1000
     again = apply_patch(staged, clean, target, approve=True)
-    assert again["applied"] and spark.table(target).count() == 986 and spark.table(f"{target}_backup").count() == 986
+    assert again["applied"] and spark.table(target).count() == 1000 and spark.table(f"{target}_backup").count() == 1000
 
 
 def test_sql_patch_for_another_target(spark, staged):
     sql = PATCH_SQL.replace("gold.sales_clean", "other.sales_clean")
     report = apply_patch(staged, sql, "other.sales_clean", approve=True)
-    assert report["applied"] and report["missing_requirements"] == [] and spark.table("other.sales_clean").count() == 986
+    assert report["applied"] and report["missing_requirements"] == [] and spark.table("other.sales_clean").count() == 1000
 
 
 def test_missing_tables_say_what_to_do(spark, tmp_path):
@@ -233,7 +233,7 @@ def test_whole_workflow(spark, folder):
     report = run_workflow(
         sales_raw(spark, folder, closed=True), [("agent", broken)], "flow.sales_clean", approve=True
     )
-    assert report["baseline"]["n_rows"] == 999 and report["applied"] and report["patch"] == "reference"
+    assert report["baseline"]["n_rows"] == 1013 and report["applied"] and report["patch"] == "reference"
     assert [(name, chosen) for name, chosen, _ in report["fallback"]] == [("agent", False), ("reference", True)]
     assert report["fallback_notice"]["patch_efetivo"] == "reference" and "no_such_column" in report["fallback_notice"]["motivo"]["agent"]
     assert metrics_nonnull_price(spark.table("flow.sales_clean")).first()["dup_est"] == 0
