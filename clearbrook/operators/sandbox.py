@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clearbrook.fixed_values import (
     FALLBACK_REASON_FAILED,
@@ -212,8 +213,8 @@ def first_viable(staged: DataFrame, candidates: Sequence[tuple[str, Patch | None
 
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_ROWS, order: Sequence[str] | None = None) -> DataFrame:
-    """A few rows to look at; with ``order`` always the same ones."""
-    return df.orderBy(*[f"{c}" for c in order]).limit(n) if order else df.limit(n)
+    """A few rows to look at; with ``order`` always the same ones, rows without a value last."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n) if order else df.limit(n)
 
 
 def readonly_query(

@@ -614,7 +614,7 @@ def readonly_query(spark, folder):
 @query
 def sample_rows(spark, folder):
     staged = sales_staged(spark, folder)
-    return rounded(sandbox.sample_rows(staged, 5, ["order_id", "date_parsed"]))
+    return rounded(sandbox.sample_rows(staged, 5, ["order_id", "date_parsed", "store_id", "product_id", "unit_price"]))
 
 
 def _database(spark) -> str:

@@ -492,7 +492,7 @@ UNION ALL SELECT 'not a query', FALSE, 'ParseException', NULL, NULL
 UNION ALL SELECT 'reference', TRUE, NULL, {a('n')}, {a('dup_est')}""", *BOTH),
         "readonly_query": over_sales("""
 SELECT channel_norm, store_id, COUNT(*) AS n FROM stg GROUP BY ALL ORDER BY n DESC, channel_norm, store_id LIMIT 50"""),
-        "sample_rows": over_sales(f"SELECT {STG_COLUMNS} FROM stg ORDER BY order_id, date_parsed LIMIT 5"),
+        "sample_rows": over_sales(f"SELECT {STG_COLUMNS} FROM stg ORDER BY order_id, date_parsed, store_id, product_id, stg.unit_price LIMIT 5"),
         "apply_gold_readback": gold_closed,
         "gold_ctas_idempotent": gold,
         "snapshot_csv_roundtrip": gold,
