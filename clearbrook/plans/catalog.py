@@ -65,9 +65,9 @@ def as_text(problems: Column) -> Column:
     return F.array_join(problems, "; ")
 
 
-def _staged_and_cleaned(spark, folder, closed=False, rules=cleaning.REFERENCE_RULES):
+def _staged_and_cleaned(spark, folder, closed=False, rules=cleaning.REFERENCE_RULES, variant="open"):
     """Both sides of a cleaning as tables, each computed once and read by several metrics afterwards."""
-    staged = written(sales_staged(spark, folder, closed), "staged")
+    staged = written(sales_staged(spark, folder, closed, variant), "staged")
     return staged, written(cleaning.clean(staged, rules), "cleaned")
 
 
@@ -472,12 +472,12 @@ def clean_reference_distributed(spark, folder):
 
 @query
 def clean_agent_variant(spark, folder):
-    return rounded(cleaning.clean(sales_staged(spark, folder), cleaning.AGENT_RULES))
+    return rounded(cleaning.clean(sales_staged(spark, folder, variant="keyed"), cleaning.AGENT_RULES))
 
 
 @query
 def clean_legacy(spark, folder):
-    return rounded(cleaning.clean(sales_staged(spark, folder), cleaning.LEGACY_RULES))
+    return rounded(cleaning.clean(sales_staged(spark, folder, variant="keyed"), cleaning.LEGACY_RULES))
 
 
 # --- gate and publish ---------------------------------------------------------
@@ -488,8 +488,8 @@ def _both_metrics(spark, folder, closed=False):
     return profile.table_metrics(staged), profile.table_metrics(cleaned)
 
 
-def _both_short_metrics(spark, folder, rules=cleaning.REFERENCE_RULES):
-    staged, cleaned = _staged_and_cleaned(spark, folder, rules=rules)
+def _both_short_metrics(spark, folder, rules=cleaning.REFERENCE_RULES, variant="open"):
+    staged, cleaned = _staged_and_cleaned(spark, folder, rules=rules, variant=variant)
     return profile.metrics_nonnull_price(staged), profile.metrics_nonnull_price(cleaned)
 
 
@@ -520,7 +520,7 @@ def acceptance_gates_closed(spark, folder):
 
 @query
 def gates_legacy(spark, folder):
-    return rounded(gates.gates(*_both_short_metrics(spark, folder, cleaning.LEGACY_RULES), "legacy"))
+    return rounded(gates.gates(*_both_short_metrics(spark, folder, cleaning.LEGACY_RULES, "keyed"), "legacy"))
 
 
 @query
@@ -544,6 +544,44 @@ def gate_report(spark, folder):
     return gates.gate_report(gates.gates(*_both_metrics(spark, folder)))
 
 
+# --- evidence of a root-cause report ------------------------------------------
+
+
+def _evidence(spark, folder) -> dict[str, DataFrame]:
+    staged, cleaned = _staged_and_cleaned(spark, folder)
+    return evidence.evidence_tables(staged, cleaned, FIRST_DAY, LAST_DAY, SELECTED_DAYS)
+
+
+@query
+def evidence_seasonality(spark, folder):
+    return _evidence(spark, folder)["seasonality"]
+
+
+@query
+def evidence_flagged_days(spark, folder):
+    return _evidence(spark, folder)["flagged_days"]
+
+
+@query
+def evidence_verdicts(spark, folder):
+    return _evidence(spark, folder)["verdicts"].select("d", "n_rows", "dup_rows_no_dia", "verdict")
+
+
+@query
+def evidence_off_domain(spark, folder):
+    return _evidence(spark, folder)["off_domain_total"]
+
+
+@query
+def evidence_before_after(spark, folder):
+    return rounded(_evidence(spark, folder)["before_after"])
+
+
+@query
+def evidence_gates(spark, folder):
+    return _evidence(spark, folder)["gates"]
+
+
 @query
 def decision(spark, folder):
     rows = [gates.decision(gates.gates(*_both_metrics(spark, folder, closed))) for closed in (False, True)]
@@ -647,7 +685,7 @@ def gold_ctas_idempotent(spark, folder):
 def swap_promote(spark, folder):
     """The table in place and the backup it replaced."""
     database = _database(spark)
-    staged = written(sales_staged(spark, folder), "staged")
+    staged = written(sales_staged(spark, folder, variant="keyed"), "staged")
     target, new = f"{database}.sales_clean", f"{database}.sales_clean_new"
     publish.write_table(cleaning.clean(staged, cleaning.AGENT_RULES), target)
     publish.write_table(cleaning.clean(staged, cleaning.LEGACY_RULES), new)

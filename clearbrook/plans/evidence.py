@@ -24,6 +24,10 @@ def evidence_tables(
     staged: DataFrame, cleaned: DataFrame, start: str | None = None, end: str | None = None,
     days: Sequence[str] | None = None, calendar: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
+    """Tables by name, all from the same two inputs.
+
+    Both are read several times, so give tables that are written (see ``session.written``), not plans.
+    """
     flags = seasonality_flags(seasonality(staged, start, end))
     drift = label_drift(staged)
     before, after = table_metrics(staged), table_metrics(cleaned)

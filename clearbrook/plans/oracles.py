@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clearbrook.plans.catalog import FIRST_DAY, HOLIDAYS, LAST_DAY, SELECTED_DAYS, SPLIT_DAY, SQL_TEMPLATES
-from clearbrook.sources.sales import SALES_RAW_CLOSED_SQL, SALES_RAW_SQL
+from clearbrook.sources.sales import SALES_VARIANTS
 
 STAGED = """
   SELECT order_id,
@@ -66,8 +66,8 @@ SERIES_COLUMNS = """d, n_rows, n_orders, round(revenue, 6) AS revenue, round(ma7
   round(dev_vs_ma7, 6) AS dev_vs_ma7, dup_rows_no_dia"""
 
 
-def over_sales(select: str, *ctes: str, closed: bool = False) -> str:
-    raw = SALES_RAW_CLOSED_SQL if closed else SALES_RAW_SQL
+def over_sales(select: str, *ctes: str, closed: bool = False, variant: str = "open") -> str:
+    raw = SALES_VARIANTS["closed" if closed else variant]
     parts = [f"sales_raw AS ({raw})", f"stg AS ({STAGED})", *ctes]
     return "WITH " + ",\n".join(parts) + "\n" + select
 
@@ -420,10 +420,10 @@ FROM gold""", GOLD),
         "clean_agent_variant": over_sales(f"""
 SELECT * FROM (SELECT order_id, date_parsed, store_id, product_id,
   round({clipped.format('33.8652', '229.2788')}, 6) AS unit_price, quantity, customer_id, {agent_label} AS channel_norm,
-  channel_raw FROM kept) AS clamped WHERE unit_price > 0""", KEPT),
+  channel_raw FROM kept) AS clamped WHERE unit_price > 0""", KEPT, variant="keyed"),
         "clean_legacy": over_sales("""
 SELECT order_id, date_parsed, store_id, product_id, round(unit_price, 6) AS unit_price, quantity, customer_id, channel_norm
-FROM gold""", LEGACY_GOLD),
+FROM gold""", LEGACY_GOLD, variant="keyed"),
     }
 
 
@@ -473,7 +473,7 @@ FROM lineitem WHERE l_extendedprice IS NOT NULL"""
             f"SELECT CAST(round({DROP_RATIO}, 4) AS DOUBLE) AS drop_ratio, "
             + ", ".join(f"{e} AS {n}" for n, e in legacy_gates.items())
             + ", " + " AND ".join(f"({e})" for e in legacy_gates.values()) + " AS ok",
-            LEGACY_GOLD, *short,
+            LEGACY_GOLD, *short, variant="keyed",
         ),
         "gates_lineitem_row_loss": row_loss.format("l_shipdate") + " UNION ALL " + row_loss.format("l_linenumber"),
         "gate_report": over_sales(report, *BOTH),
@@ -497,7 +497,7 @@ SELECT channel_norm, store_id, COUNT(*) AS n FROM stg GROUP BY ALL ORDER BY n DE
         "gold_ctas_idempotent": gold,
         "snapshot_csv_roundtrip": gold,
         "swap_promote": over_sales(
-            f"SELECT 'current' AS role, {swap} FROM gold UNION ALL SELECT 'backup' AS role, {swap} FROM agent", LEGACY_GOLD, agent
+            f"SELECT 'current' AS role, {swap} FROM gold UNION ALL SELECT 'backup' AS role, {swap} FROM agent", LEGACY_GOLD, agent, variant="keyed",
         ),
     }
 
@@ -572,5 +572,13 @@ FROM lineitem JOIN middles USING (l_suppkey) WHERE l_extendedprice > 1.9 * middl
     }
 
 
+#: Evidence tables and the queries that show the same rows.
+SAME_ROWS = {
+    "evidence_seasonality": "seasonality_selected_days", "evidence_flagged_days": "flagged_days", "evidence_verdicts": "classify_days",
+    "evidence_off_domain": "label_off_domain_total", "evidence_before_after": "before_after_long", "evidence_gates": "gate_report",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_staging(), **_profile(), **_evidence(), **_clean(), **_publish(), **_text(), **_extensions()}
+    named = {**_staging(), **_profile(), **_evidence(), **_clean(), **_publish(), **_text(), **_extensions()}
+    return named | {name: named[other] for name, other in SAME_ROWS.items()}
