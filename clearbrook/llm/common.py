@@ -42,8 +42,16 @@ def discard(frame: DataFrame) -> None:
 _SHIPPED: set[str] = set()
 
 
+#: Texts that go to a Python worker at a time; what workers hold follows from it and the longest texts.
+BATCH = 500
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package once a session, for clusters that do not have it installed."""
+    """Give the executors this package once a session, for clusters that do not have it installed.
+
+    Also keeps the batches that go to Python small, as texts may be long.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
