@@ -16,8 +16,6 @@ through the driver, in which all repeated fingerprints, and some others, are mar
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,13 +31,11 @@ GRAM, REACH = 26, 25
 LEAST = GRAM + REACH - 1
 #: Bits of the filter, as a power of two: 8 MB for a corpus of any size.
 FILTER_BITS = 26
-#: Word hashes that a worker remembers.
-REMEMBERED = 600_000
-
-_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+#: Bytes whose words are hashed at a time.
+_BLOCK = 1 << 20
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _FACTOR = 0x9E3779B97F4A7C15
 _BACK = pow(_FACTOR, -1, 1 << 64)
-_HASHES: dict[bytes, int] = {}
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -61,40 +57,85 @@ def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
     return best if have == size else pick(best[: len(best) - (size - have)], best[size - have :])
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    new = [w for w in set(words) if w not in _HASHES]
-    if len(_HASHES) + len(new) > REMEMBERED:
-        _HASHES.clear()
-        new = set(words)
-    _HASHES.update((w, xxhash.xxh64_intdigest(w)) for w in new)
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-
-
-def winnow(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values of the fingerprints of a text of at least ``LEAST`` words."""
+def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word, and the byte after its last."""
+    if not raw:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    space = _SPACE[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    edges = np.concatenate([[0] * (not space[0]), edges, [len(raw)] * (not space[-1])]).astype(np.int64)
+    return edges[::2], edges[1::2]
+
+
+def word_hashes(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A polynomial hash of each word, from running sums over the bytes; long texts are taken in blocks."""
+    hashes = np.empty(len(starts), np.uint64)
+    data, at = np.frombuffer(raw, np.uint8), 0
+    while at < len(starts):
+        until = max(at + 1, int(np.searchsorted(stops, starts[at] + _BLOCK, side="right")))
+        low, high = int(starts[at]), int(stops[until - 1])
+        if high - low > _BLOCK:  # one word longer than a block
+            hashes[at] = xxhash.xxh64_intdigest(raw[low:high])
+        else:
+            up, down = _powers(high - low)
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+            first, last = starts[at:until] - low, stops[at:until] - low
+            part = (sums[last] - sums[first]) * down[first]
+            part = (part ^ (part >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+            hashes[at:until] = part ^ (part >> np.uint64(29))
+        at = until
+    return hashes
+
+
+def winnow(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the fingerprints in word hashes; ``text`` numbers the text that each word belongs to."""
+    if len(hashes) < LEAST:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     up, down = _powers(len(hashes))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
     lines = (sums[GRAM:] - sums[:-GRAM]) * down[: len(hashes) - GRAM + 1]
     lines = (lines ^ (lines >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     lines ^= lines >> np.uint64(29)
+    lines |= np.uint64(1)  # zero is none
     least = _sliding(lines, REACH, np.minimum)
+    least[text[: len(least)] != text[LEAST - 1 :]] = 0  # a window over two texts
     edge = np.zeros(REACH - 1, np.uint64)
     # A line is the smallest of some window exactly if it equals the largest of the minima of its windows.
     places = np.flatnonzero(lines == _sliding(np.concatenate([edge, least, edge]), REACH, np.maximum))
     return places, lines[places]
 
 
+def fingerprints(texts_: list[str]):
+    """Of each group of texts: the texts' numbers, the fingerprints' texts, places and values, and the word hashes.
+
+    Short texts are taken together, so that each step works on long arrays.
+    """
+    group: list[bytes] = []
+    numbers: list[int] = []
+    for number, text in enumerate(texts_):
+        group.append(text.encode("utf-8", "surrogatepass"))
+        numbers.append(number)
+        if number + 1 < len(texts_) and sum(map(len, group)) < _BLOCK and len(group) < 256:
+            continue
+        raw = b"\n".join(group)
+        starts, stops = word_places(raw)
+        begins = np.concatenate([[0], np.cumsum([len(g) + 1 for g in group])[:-1]])
+        firsts = np.searchsorted(starts, begins)
+        owner = np.repeat(np.arange(len(group)), np.diff(np.append(firsts, len(starts))))
+        hashes = word_hashes(raw, starts, stops)
+        at, lines = winnow(hashes, owner)
+        yield np.array(numbers)[owner[at]], owner, firsts, at, lines, hashes
+        group, numbers = [], []
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """The fingerprints of all texts, one row for each place."""
 
     def run(batches):
         for batch in batches:
-            found = [np.empty(0, np.uint64)]
-            for text in batch.column(0).to_pylist():
-                words = text.encode("utf-8", "surrogatepass").split()
-                if len(words) >= LEAST:
-                    found.append(winnow(word_hashes(words))[1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["line"])
+            found = [part[4] for part in fingerprints(batch.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["line"])
 
     return texts(docs).select(TEXT).mapInArrow(run, "line bigint")
 
@@ -110,17 +151,25 @@ def _filter(repeated: DataFrame) -> np.ndarray:
     return marks
 
 
-def _around(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+def _around(hashes: np.ndarray, text: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Per place the short hashes of the words before the line, nearest first, then of those after it; 0 is no word."""
+    reach = REACH - 1
     short = (hashes & np.uint64(0xFFFF)).astype(np.uint16)
     short[short == 0] = 1
-    pad = np.zeros(REACH - 1, np.uint16)
-    padded = np.concatenate([pad, short, pad])
-    at = places[:, None] + (REACH - 1)
-    step = np.arange(REACH - 1)[None, :]
+    shifted = np.arange(len(hashes)) + reach * (text + 1)  # room for as many words between texts
+    padded = np.zeros(len(hashes) + reach * (int(text[-1]) + 2), np.uint16)
+    padded[shifted] = short
+    at, step = shifted[places][:, None], np.arange(reach)[None, :]
     return np.concatenate([padded[at - 1 - step], padded[at + GRAM + step]], axis=1)
 
 
+def _binary(matrix: np.ndarray) -> pa.Array:
+    """One binary value per row."""
+    width = matrix.shape[1] * matrix.itemsize
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(matrix))])
+
+
 def _occurrences(docs: DataFrame, marks: np.ndarray) -> DataFrame:
     """The marked fingerprints with their text, place and surroundings."""
     shared = docs.sparkSession.sparkContext.broadcast(marks)
@@ -132,26 +181,21 @@ def _occurrences(docs: DataFrame, marks: np.ndarray) -> DataFrame:
     def run(batches):
         known = shared.value
         for batch in batches:
-            rows, lines, places, around = [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                words = text.encode("utf-8", "surrogatepass").split()
-                if len(words) < LEAST:
-                    continue
-                hashes = word_hashes(words)
-                at, values = winnow(hashes)
+            rows, lines, places, around = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((0, 2 * REACH - 2), np.uint16)]
+            for row, owner, firsts, at, values, hashes in fingerprints(batch.column(1).to_pylist()):
                 slot = (values & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
                 marked = (known[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                at, values = at[marked], values[marked]
+                at, values, row = at[marked], values[marked], row[marked]
                 if len(at):
-                    rows += [row] * len(at)
+                    rows.append(row)
                     lines.append(values)
-                    places.append(at)
-                    around += [x.tobytes() for x in _around(hashes, at)]
-            taken = pa.array(rows, pa.int64())
+                    places.append(at - firsts[owner[at]])
+                    around.append(_around(hashes, owner, at))
+            taken = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(lines).view(np.int64)), batch.column(0).take(taken), batch.column(2).take(taken),
-                    pa.array(np.concatenate(places)), pa.array(around, pa.binary()),
+                    pa.array(np.concatenate(places)), _binary(np.concatenate(around)),
                 ],
                 names=schema.names,
             )
@@ -186,20 +230,22 @@ def repeated_words(docs: DataFrame) -> DataFrame:
     repeated = _lines(docs).groupBy("line").agg(F.count("*").alias("n")).where("n > 1")
     found = keep(_occurrences(docs, _filter(repeated)), "occurrences")
     order = F.struct(F.col(ID).isNull().alias("unnamed"), ID, "digest", "place", "around")
-    firsts = found.groupBy("line").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("line", "first")
+    # Written, so that the join shuffles both sides for itself and can split a line that very many places share.
+    firsts = keep(found.groupBy("line").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("line", "first"), "firsts")
     same = F.col(ID).eqNullSafe(F.col(f"first.{ID}")) & (F.col("digest") == F.col("first.digest"))
     matched = found.join(firsts, "line").where(~(same & (F.col("place") == F.col("first.place")))).select(
         ID, "digest", "place", "around", F.col("first.place").alias("first"), F.col("first.around").alias("first_around"), same.alias("same")
     )
     cuts = keep(_covered(matched).groupBy(ID, "digest").agg(F.collect_set("cut").alias("cuts")), "cuts")
     discard(found)
+    discard(firsts)
     return cuts
 
 
 def cut(text: str, cuts: list[int]) -> tuple[str, int, int, list[tuple[int, int]]]:
     """The text without its repeated runs, the words it had, those deleted, and the deleted spans in code points."""
     raw = text.encode("utf-8", "surrogatepass")
-    words = [m.start() for m in _WORD.finditer(raw)]
+    words = word_places(raw)[0].tolist()
     ends = [*words[1:], len(raw)]
     runs: list[list[int]] = []
     for start, stop in sorted((c >> 32, c & 0xFFFFFFFF) for c in cuts):
@@ -244,7 +290,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            made = [cut(t, c) if c else (t, len(t.encode("utf-8", "surrogatepass").split()), 0, []) for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            made = [cut(t, c) if c else (t, len(word_places(t.encode("utf-8", "surrogatepass"))[0]), 0, []) for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64()),

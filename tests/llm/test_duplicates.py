@@ -174,5 +174,23 @@ def test_winnowing_guarantee():
     for _ in range(200):
         shared = [f"s{pick.randrange(10**6)}".encode() for _ in range(repeats.LEAST)]
         sides = [[f"{k}{pick.randrange(10**6)}".encode() for _ in range(pick.randint(0, 80))] for k in "abcd"]
-        one, two = (repeats.winnow(repeats.word_hashes(a + shared + b))[1] for a, b in (sides[:2], sides[2:]))
+        texts = [b" ".join(a + shared + b).decode() for a, b in (sides[:2], sides[2:])]
+        one, two = (np.concatenate([part[4] for part in repeats.fingerprints([t])]) for t in texts)
+        both = list(repeats.fingerprints(["few words", texts[0], "", texts[1]]))  # texts taken together are as if alone
+        assert sorted(np.concatenate([p[4] for p in both]).tolist()) == sorted([*one.tolist(), *two.tolist()])
         assert np.intersect1d(one, two).size
+
+
+def test_words_and_their_hashes(monkeypatch):
+    pick = random.Random(7)
+    monkeypatch.setattr(repeats, "_BLOCK", 64)
+    texts = ["", " ", "a", " a", "a ", "x" * 200 + " y " + "x" * 200, "é 漢字\x1c\x85 z", *("".join(pick.choice("ab \n\t\x0b") for _ in range(400)) for _ in range(50))]
+    seen = {}
+    for text in texts:
+        raw = text.encode()
+        starts, stops = repeats.word_places(raw)
+        words = [raw[a:b] for a, b in zip(starts, stops)]
+        assert words == raw.split()
+        for word, value in zip(words, repeats.word_hashes(raw, starts, stops).tolist()):
+            assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen)
