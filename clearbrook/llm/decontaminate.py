@@ -102,9 +102,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     source = docs.select(F.xxhash64(TEXT).alias("key"), TEXT)
     anchors = keep(_anchors(source, index), "anchors")
-    # The texts of anchors only; which side is small is known from the written table.
+    # The texts of anchors only. Texts are shuffled at every size: their keys may be few here and a third of all there.
     sized = anchors.groupBy("key").agg(F.collect_set(F.struct("size", "starts")).alias("wanted"))
-    chosen = source.join(sized, "key").dropDuplicates(["key"]).select("key", shingles(F.col(TEXT)).alias("hashes"), "wanted")
+    chosen = source.join(sized.hint("merge"), "key").dropDuplicates(["key"]).select("key", shingles(F.col(TEXT)).alias("hashes"), "wanted")
     windows = (
         chosen.select("key", "hashes", F.explode("wanted").alias("w")).select("key", "hashes", "w.size", F.explode("w.starts").alias("at"))
         .select("key", "size", "at", F.slice("hashes", F.col("at") + 1, F.col("size")).alias("window")).dropDuplicates(["key", "size", "at"])
@@ -156,4 +156,4 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns."""
     found = contaminated(texts(docs), benchmark).select(F.col("key").alias("__key"))
-    return docs.join(found, F.xxhash64(F.coalesce(docs[TEXT], F.lit(""))) == found["__key"], "left_anti")
+    return docs.join(found.hint("merge"), F.xxhash64(F.coalesce(docs[TEXT], F.lit(""))) == found["__key"], "left_anti")
