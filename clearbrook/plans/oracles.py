@@ -568,7 +568,10 @@ WITH middles AS (SELECT l_suppkey, quantile_cont(l_extendedprice, 0.5) AS middle
 SELECT l_orderkey, l_linenumber, l_suppkey, round(l_extendedprice, 6) AS l_extendedprice, round(middle, 6) AS median
 FROM lineitem JOIN middles USING (l_suppkey) WHERE l_extendedprice > 1.9 * middle""",
         "stream_dedupe": over_sales("SELECT DISTINCT order_id, date_parsed FROM stg"),
-        "stream_contract": over_sales(f"SELECT {STG_COLUMNS} FROM kept", KEPT.replace("FROM stg", f"FROM stg WHERE {good}")),
+        "stream_contract": over_sales(
+            f"SELECT {STG_COLUMNS} FROM kept UNION ALL SELECT DISTINCT {STG_COLUMNS} FROM stg WHERE {good} AND order_id IS NULL",
+            KEPT.replace("FROM stg", f"FROM stg WHERE {good} AND order_id IS NOT NULL"),
+        ),
     }
 
 
