@@ -7,8 +7,13 @@ of ``GRAM + REACH - 1`` words that two texts share has a whole window in both, a
 
 Of equal fingerprints the first occurrence, by id, text and place, stays. Every later one is joined with it and
 extended word by word on both sides; what the extended matches of a text cover, in one piece of at least
-``LEAST`` words, is deleted. A first occurrence in the same text is not touched by its repetition. Where the first
-occurrence is itself cut shorter than a later one, up to ``REACH - 1`` words may stay at an edge of what repeats both.
+``LEAST`` words, is deleted. A first occurrence in the same text is not touched by its repetition.
+
+The first occurrence of a fingerprint may stand in a fragment, and the first whole copy of the passage elsewhere. So
+each window of ``LEAST`` words that an occurrence does not share with the first one gets a key, a hash of the
+whole window, and of equal keys all but the first are deleted too. A window belongs to the fingerprint that is its
+smallest line, which equal windows have in common; where one of them is shared with the fingerprint's first occurrence,
+all are. So every window that stands earlier in the corpus is found, by one of the two ways.
 
 The texts are read three times and shuffled once. Between the first two readings only a filter of a fixed size goes
 through the driver, in which all repeated fingerprints, and some others, are marked; it saves work and decides nothing.
@@ -88,10 +93,13 @@ def word_hashes(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray
     return hashes
 
 
-def winnow(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values of the fingerprints in word hashes; ``text`` numbers the text that each word belongs to."""
+def winnow(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and values of the fingerprints in word hashes, and the smallest line of each window (0 over two texts).
+
+    ``text`` numbers the text that each word belongs to.
+    """
     if len(hashes) < LEAST:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     up, down = _powers(len(hashes))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
     lines = (sums[GRAM:] - sums[:-GRAM]) * down[: len(hashes) - GRAM + 1]
@@ -103,11 +111,12 @@ def winnow(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray
     edge = np.zeros(REACH - 1, np.uint64)
     # A line is the smallest of some window exactly if it equals the largest of the minima of its windows.
     places = np.flatnonzero(lines == _sliding(np.concatenate([edge, least, edge]), REACH, np.maximum))
-    return places, lines[places]
+    return places, lines[places], least
 
 
 def fingerprints(texts_: list[str]):
-    """Of each group of texts: the texts' numbers, the fingerprints' texts, places and values, and the word hashes.
+    """Of each group of texts: the fingerprints' texts, the words' texts in the group and each text's first word, the
+    fingerprints' places and values, the word hashes, and the smallest line of each window.
 
     Short texts are taken together, so that each step works on long arrays.
     """
@@ -124,8 +133,8 @@ def fingerprints(texts_: list[str]):
         firsts = np.searchsorted(starts, begins)
         owner = np.repeat(np.arange(len(group)), np.diff(np.append(firsts, len(starts))))
         hashes = word_hashes(raw, starts, stops)
-        at, lines = winnow(hashes, owner)
-        yield np.array(numbers)[owner[at]], owner, firsts, at, lines, hashes
+        at, lines, least = winnow(hashes, owner)
+        yield np.array(numbers)[owner[at]], owner, firsts, at, lines, hashes, least
         group, numbers = [], []
 
 
@@ -163,6 +172,21 @@ def _around(hashes: np.ndarray, text: np.ndarray, places: np.ndarray) -> np.ndar
     return np.concatenate([padded[at - 1 - step], padded[at + GRAM + step]], axis=1)
 
 
+def _owned(least: np.ndarray, places: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """Per place which windows have the line there as their smallest; column k: the one with k words before the line."""
+    padded = np.concatenate([np.zeros(REACH - 1, np.uint64), least, np.zeros(REACH - 1, np.uint64)])
+    return padded[places[:, None] + (REACH - 1 - np.arange(REACH))] == lines[:, None]
+
+
+def _windows(hashes: np.ndarray) -> np.ndarray:
+    """The hashes of all windows, of the words' whole hashes: the many copies of a passage have many words at its edge."""
+    up, down = _powers(len(hashes))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
+    keys = (sums[LEAST:] - sums[:-LEAST]) * down[: len(hashes) - LEAST + 1]
+    keys = (keys ^ (keys >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return keys ^ (keys >> np.uint64(29))
+
+
 def _binary(matrix: np.ndarray) -> pa.Array:
     """One binary value per row."""
     width = matrix.shape[1] * matrix.itemsize
@@ -176,13 +200,15 @@ def _occurrences(docs: DataFrame, marks: np.ndarray) -> DataFrame:
     source = texts(docs).select(ID, TEXT, F.xxhash64(TEXT).alias("digest"))
     schema = T.StructType([
         T.StructField("line", T.LongType()), source.schema[ID], source.schema["digest"], T.StructField("place", T.LongType()), T.StructField("around", T.BinaryType()),
+        T.StructField("owned", T.IntegerType()), T.StructField("windows", T.ArrayType(T.LongType())),
     ])
 
     def run(batches):
         known = shared.value
         for batch in batches:
             rows, lines, places, around = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((0, 2 * REACH - 2), np.uint16)]
-            for row, owner, firsts, at, values, hashes in fingerprints(batch.column(1).to_pylist()):
+            owned, windows = [np.empty((0, REACH), bool)], [np.empty(0, np.uint64)]
+            for row, owner, firsts, at, values, hashes, least in fingerprints(batch.column(1).to_pylist()):
                 slot = (values & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
                 marked = (known[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
                 at, values, row = at[marked], values[marked], row[marked]
@@ -191,11 +217,16 @@ def _occurrences(docs: DataFrame, marks: np.ndarray) -> DataFrame:
                     lines.append(values)
                     places.append(at - firsts[owner[at]])
                     around.append(_around(hashes, owner, at))
-            taken = pa.array(np.concatenate(rows))
+                    owned.append(_owned(least, at, values))
+                    one, k = np.nonzero(owned[-1])
+                    windows.append(_windows(hashes)[at[one] - k])
+            taken, own = pa.array(np.concatenate(rows)), np.concatenate(owned)
+            until = pa.array(np.concatenate([[0], np.cumsum(own.sum(axis=1))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(lines).view(np.int64)), batch.column(0).take(taken), batch.column(2).take(taken),
-                    pa.array(np.concatenate(places)), _binary(np.concatenate(around)),
+                    pa.array(np.concatenate(places)), _binary(np.concatenate(around)), pa.array((own << np.arange(REACH)).sum(axis=1).astype(np.int32)),
+                    pa.ListArray.from_arrays(until, pa.array(np.concatenate(windows).view(np.int64))),
                 ],
                 names=schema.names,
             )
@@ -204,7 +235,10 @@ def _occurrences(docs: DataFrame, marks: np.ndarray) -> DataFrame:
 
 
 def _covered(matched: DataFrame) -> DataFrame:
-    """The words that each match covers when it is extended, as one number: the first word, and the one after the last."""
+    """Stretches of words as one number each: the first word, and the one after the last.
+
+    Without ``key`` what a match covers when it is extended; with it a window that the match does not cover, and its hash.
+    """
 
     def run(batches):
         for batch in batches:
@@ -215,30 +249,57 @@ def _covered(matched: DataFrame) -> DataFrame:
             left, right = (np.logical_and.accumulate(part, axis=1).sum(axis=1) for part in (equal[:, : REACH - 1], equal[:, REACH - 1 :]))
             start = np.where(same, np.maximum(place - left, first + GRAM), place - left)
             stop = place + GRAM + right
-            some = start < stop
-            ids = pa.array(np.flatnonzero(some))
+            some = np.flatnonzero(start < stop)
+            before = np.arange(REACH)
+            owned = batch.column("owned").to_numpy(zero_copy_only=False)[:, None] >> before & 1 == 1
+            row, k = np.nonzero(owned)
+            uncovered = (k > left[row]) | (REACH - 1 - k > right[row])
+            keys = batch.column("windows").flatten().to_numpy(zero_copy_only=False)[uncovered]
+            row, k = row[uncovered], k[uncovered]
+            begin = place[row] - k
+            ids = pa.array(np.concatenate([some, row]))
+            cuts = np.concatenate([(start[some] << 32) | stop[some], (begin << 32) | (begin + LEAST)])
+            nulls = np.arange(len(cuts)) < len(some)
+            keys = pa.array(np.concatenate([np.zeros(len(some), np.int64), keys]), mask=nulls)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(ID).take(ids), batch.column("digest").take(ids), pa.array((start[some] << 32) | stop[some])], names=[ID, "digest", "cut"]
+                [batch.column(ID).take(ids), batch.column("digest").take(ids), pa.array(cuts), keys], names=[ID, "digest", "cut", "key"]
             )
 
-    schema = T.StructType([matched.schema[ID], matched.schema["digest"], T.StructField("cut", T.LongType())])
+    schema = T.StructType([matched.schema[ID], matched.schema["digest"], T.StructField("cut", T.LongType()), T.StructField("key", T.LongType())])
     return matched.mapInArrow(run, schema)
 
 
+def _same(first: str):
+    """Whether a row is of the text that its first occurrence is in."""
+    return F.col(ID).eqNullSafe(F.col(f"{first}.{ID}")) & (F.col("digest") == F.col(f"{first}.digest"))
+
+
 def repeated_words(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, cuts): for each text that repeats an earlier one the words that its matches cover."""
     repeated = _lines(docs).groupBy("line").agg(F.count("*").alias("n")).where("n > 1")
     found = keep(_occurrences(docs, _filter(repeated)), "occurrences")
-    order = F.struct(F.col(ID).isNull().alias("unnamed"), ID, "digest", "place", "around")
+    order = [F.col(ID).isNull().alias("unnamed"), ID, "digest"]
     # Written, so that the join shuffles both sides for itself and can split a line that very many places share.
-    firsts = keep(found.groupBy("line").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("line", "first"), "firsts")
-    same = F.col(ID).eqNullSafe(F.col(f"first.{ID}")) & (F.col("digest") == F.col("first.digest"))
-    matched = found.join(firsts, "line").where(~(same & (F.col("place") == F.col("first.place")))).select(
-        ID, "digest", "place", "around", F.col("first.place").alias("first"), F.col("first.around").alias("first_around"), same.alias("same")
+    least = F.min(F.struct(*order, "place", "around")).alias("first")
+    firsts = keep(found.groupBy("line").agg(least, F.count("*").alias("n")).where("n > 1").select("line", "first"), "firsts")
+    matched = found.join(firsts, "line").where(~(_same("first") & (F.col("place") == F.col("first.place")))).select(
+        ID, "digest", "place", "around", "owned", "windows", F.col("first.place").alias("first"), F.col("first.around").alias("first_around"), _same("first").alias("same")
     )
-    cuts = keep(_covered(matched).groupBy(ID, "digest").agg(F.collect_set("cut").alias("cuts")), "cuts")
+    covered = keep(_covered(matched), "covered")
     discard(found)
     discard(firsts)
+    windows = covered.where("key is not null")
+    least = F.min(F.struct(*order, "cut")).alias("first")
+    heads = keep(windows.groupBy("key").agg(least, F.count("*").alias("n")).where("n > 1").select("key", "first"), "heads")
+    start, stop = F.shiftright("cut", 32), F.col("cut").bitwiseAND(F.lit(0xFFFFFFFF))
+    after = F.greatest(start, F.when(_same("first"), F.col("first.cut").bitwiseAND(F.lit(0xFFFFFFFF))))
+    later = windows.join(heads, "key").select(ID, "digest", after.alias("start"), stop.alias("stop")).where("start < stop")
+    stretches = covered.where("key is null").select(ID, "digest", "cut").union(
+        later.select(ID, "digest", F.shiftleft("start", 32).bitwiseOR(F.col("stop")))
+    )
+    cuts = keep(stretches.groupBy(ID, "digest").agg(F.collect_set("cut").alias("cuts")), "cuts")
+    discard(covered)
+    discard(heads)
     return cuts
 
 

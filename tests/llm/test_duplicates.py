@@ -161,6 +161,46 @@ def test_repeated_passages_go_wherever_they_begin(spark):
     assert (900 in left) == (copied < repeats.LEAST) and left[901] is None and left[902] == ""
 
 
+def test_whole_copies_go_though_a_fragment_stands_earlier(spark):
+    pick = random.Random(8)
+    rows, kept = [], {}
+    for k, n in enumerate([50, 51, 60, 74, 90, 130] * 12):
+        passage = [f"p{k}x{pick.randrange(10**6)}" for _ in range(n)]
+        size = pick.randint(26, 49)
+        at = pick.randint(0, n - size)
+        for part, whole in enumerate([passage[at : at + size], passage, passage, passage]):
+            before, after = ([f"d{k}x{part}x{pick.randrange(10**6)}" for _ in range(pick.randint(0, 60))] for _ in range(2))
+            rows.append((4 * k + part, " ".join(before + whole + after)))
+            kept[4 * k + part] = before + (whole if part < 2 else []) + after
+    found = {r["doc_id"]: r["text"].split() for r in repeats.line_dedup(documents(spark, rows)).collect()}
+    assert found == kept
+
+
+def test_windows_repeated_earlier_are_found_against_all(spark):
+    pick = random.Random(9)
+    passages = [[f"p{k}x{i}" for i in range(160)] for k in range(4)]
+    rows = []
+    for i in range(150):
+        words = [f"d{i}x"]
+        for _ in range(pick.randint(0, 3)):
+            size, passage = pick.randint(20, 110), pick.choice(passages)
+            at = pick.randint(0, 160 - size)
+            words += [*passage[at : at + size], f"d{i}x{len(words)}"]
+        rows.append((i, " ".join(words)))
+    seen, must = set(), {}
+    for i, text in rows:
+        words = text.split()
+        windows = [tuple(words[k : k + repeats.LEAST]) for k in range(len(words) - repeats.LEAST + 1)]
+        must[i] = {w for k, window in enumerate(windows) if window in seen for w in range(k, k + repeats.LEAST)}
+        seen |= set(windows)
+    text = dict(rows)
+    for r in repeats.line_dedup(documents(spark, rows)).collect():
+        spans = [tuple(map(int, s.split(":"))) for s in r["removed_spans"].split(",") if s]
+        places = [m.start() for m in re.finditer(r"\S+", text[r["doc_id"]])]
+        gone = {w for w, at in enumerate(places) if any(a <= at < b for a, b in spans)}
+        assert must[r["doc_id"]] <= gone
+
+
 def test_repetition_within_a_text_keeps_the_first(spark):
     block = " ".join(f"b{i}" for i in range(60))
     found = repeats.line_dedup(documents(spark, [(1, f"{block} middle {block} end"), (2, "a " * 300)])).collect()
