@@ -28,9 +28,14 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 _MAY = {"email": F.contains, "phone": F.contains, "card": F.rlike}
 _SIGN = {"email": "@", "phone": "+", "card": r"[0-9](?:[\x20-]?+[0-9]){13}"}
 
-#: A label of one or two words, a sign or word that announces a value, and the value.
-ANNOUNCE = r"[\x20\t]*+(?:[:=]|[\x20\t](?i:number|no\.?|nr\.?|id)[\x20\t:]|[\x20\t](?i:number|no\.?|nr\.?|id)(?=[\x20\t]*+[+0-9]))"
-LABELLED = r"(?<![\p{L}_])(?:\p{L}++[\x20\t]++)?[\p{L}_]++" + ANNOUNCE + r"[\x20\t]*+[\"'(]?+([A-Za-z0-9+](?:[^\s\"',;()]{0,62}[A-Za-z0-9])?)"
+#: Words that announce a value, up to the value or a blank before it; with a colon after them they are part of a label.
+_WORD = r"(?:(?i:number|no|nr|id)(?:[\x20\t]|(?=[+0-9]))|(?i:no|nr)\.(?:[\x20\t:]|(?=[+0-9])))"
+#: A label of one or two words, a sign or word that announces a value, and the value, which does not announce another.
+ANNOUNCE = rf"(?:[\x20\t]*+[:=]|[\x20\t]++{_WORD})"
+LABELLED = (
+    r"(?<![\p{L}_])(?:\p{L}++[\x20\t]++)?[\p{L}_]++" + ANNOUNCE + rf"[\x20\t]*+[\"'(]?+(?!(?:\p{{L}}++[\x20\t]++)?{_WORD})"
+    + r"([A-Za-z0-9+](?:[^\s\"',;()]{0,62}[A-Za-z0-9])?)"
+)
 
 #: Turns of scoring, known values that a pattern needs, and from which score on patterns and values count.
 ROUNDS, SUPPORT, PATTERN_SCORE, VALUE_SCORE = 3, 3.0, 0.6, 0.5
@@ -72,7 +77,7 @@ def seeds_and_labels(docs: DataFrame) -> DataFrame:
     span that it touches, if it does.
     """
     searches = {k: (PATTERNS[k], 0, _MAY[k](F.col(TEXT), F.lit(_SIGN[k])) if k in _MAY else None) for k in KINDS}
-    announced = F.rlike(TEXT, F.lit(r"[:=]|[\x20\t](?i:number|no\.?|nr\.?|id)[\x20\t:]"))
+    announced = F.rlike(TEXT, F.lit(rf"[:=]|[\x20\t]{_WORD}"))
     found = find(texts(docs), TEXT, searches | {"labelled": (LABELLED, 1, announced), "whole": (LABELLED, 0, announced)})
     found = found.select(ID, *[_valid(k).alias(k) for k in KINDS], F.col("labelled"), F.transform("whole", lambda x: x["value"]).alias("whole"))
 

@@ -251,6 +251,22 @@ def test_patterns_of_seeds_find_unseen_values(spark):
     assert found[11] == found[12] == ""
 
 
+def test_words_announce_values_without_a_sign(spark):
+    forms = {
+        "Ask for phone number {}": "phone", "your customer no {}": "phone", "The caller no. {}": "phone", "a hotline nr.{}": "phone",
+        "a line id{}": "phone", "there is no fax number {}": "phone", "Contact: desk number {}": "phone", "my client ID {}": "email",
+    }
+    seeds = {"phone": "+1 (555) 10{}-4567", "email": "a{}@b.de"}
+    rows, unseen = [], {}
+    for k, (form, kind) in enumerate(forms.items()):
+        rows += [(10 * k + i, form.format(seeds[kind].format(i)) + " today") for i in range(5)]
+        text = form.format(f"4711-{k}") + " today"
+        rows.append((10 * k + 9, text))
+        unseen[10 * k + 9] = f"like_{kind}:{text.index('4711')}:{text.index(' today')}"
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(documents(spark, rows)).collect() if r["doc_id"] % 10 == 9}
+    assert found == unseen
+
+
 # --- chats --------------------------------------------------------------------
 
 
