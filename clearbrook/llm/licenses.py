@@ -140,7 +140,7 @@ def rules() -> tuple[Rule, ...]:
 
 
 #: Any detection needs one of these; most texts have none and are done after this.
-_GATE = (b"licen", b" cc", b"copyright", b"spdx", b"warrant", b"public domain", b"redistribut", b"proprietary", b"hereby granted", b"unencumbered", b"reproduced", b"may not be used", b"wtfpl", b" gpl", b" lgpl", b" agpl", b" eupl", b"creative commons", b" rail", b"openrail", b"creativecommons", b"boost org", b"mozilla org", b"affero gpl", b"lesser gpl", b"library gpl")
+_GATE = (b"licen", b" cc", b"copyright", b"spdx", b"warrant", b"public domain", b"redistribut", b"proprietary", b"hereby granted", b"unencumbered", b"reproduced", b"may not be used", b"wtfpl", b" gpl", b" lgpl", b" agpl", b" eupl", b"creative commons", b" rail", b"openrail", b"creativecommons", b"boost org", b"mozilla org", b"affero gpl", b"lesser gpl", b"library gpl", b"eclipse org")
 
 
 def detections(joined: bytes) -> list[tuple[int, int, Rule]]:

@@ -176,6 +176,41 @@ def test_license_rules(text, labels):
     assert set(filter(None, found[5].split(","))) == labels
 
 
+def _examples(parsed):
+    """Texts that match a parsed expression: each choice once, optional parts out and in, classes by their first member."""
+    made = [""]
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            parts = [chr(value)]
+        elif name == "IN":
+            first, what = value[0]
+            parts = [chr(what[0] if isinstance(what, tuple) else what)] if str(first) in ("LITERAL", "RANGE") else ["1" if "DIGIT" in str(what) else "x"]
+        elif name == "BRANCH":
+            parts = [x for choice in value[1] for x in _examples(choice)]
+        elif name == "SUBPATTERN":
+            parts = _examples(value[3])
+        elif name == "MAX_REPEAT":
+            parts = [x * max(value[0], n) for x in _examples(value[2]) for n in (0, 1)]
+        else:
+            assert name == "ASSERT"
+            parts = [""]
+        made = [a + b for a in made for b in dict.fromkeys(parts)]
+    return list(dict.fromkeys(made))
+
+
+def test_every_rule_passes_the_gate():
+    pick = random.Random(12)
+    for rule in licenses.rules():
+        examples = _examples(re._parser.parse(rule.pattern.pattern.decode()))
+        for example in pick.sample(examples, min(len(examples), 60)):
+            joined = example.encode() + b" "
+            assert rule.pattern.search(joined), example
+            assert all(any(k in joined for k in group) for group in rule.keywords), (rule.label, example)
+            assert any(g in joined for g in licenses._GATE), (rule.label, example)
+    assert licenses.scan("See https://www.eclipse.org/legal/epl-2.0 for more.")[5] == "epl-2.0"
+
+
 def test_no_detection_lies_within_another():
     assert len(licenses.rules()) > 300
     text = " licensed under the apache license version 2 0 apache license mit license gnu general public license version 3 "
