@@ -133,6 +133,23 @@ def test_compression_bands():
     assert verdict(prose[:12000] + "again " * 3000) in ("repetitive", "repetitive chunks")
 
 
+def test_every_part_of_a_text_is_judged():
+    import base64
+
+    pick = random.Random(13)
+    prose = " ".join("".join(pick.choice("etaoinshrdlu") for _ in range(pick.randint(1, 9))) for _ in range(4000))
+    noise = base64.b85encode(pick.randbytes(20000)).decode()
+    compressor = quality.zstandard.ZstdCompressor(level=quality.LEVEL)
+    verdict = lambda text: quality.compression(text.encode(), compressor)[4]
+    for size in (2048, 3000, 3500, 5000, 6000, 8191, 9000, 12000, 13000, 20000):
+        assert verdict(prose[:size]) == ""
+        assert verdict(prose[: size // 2] + noise[: size // 2]) in ("incompressible", "incompressible chunks")
+    for size in (0, 1, 2047, 2048, 2559, 3500, 6000, 8191, 8192, 16383, 16384, 50000):
+        parts = quality.chunks_of(b"x" * size)
+        assert len(parts) != 1 and sum(map(len, parts)) == (size if size >= 2048 else 0)
+        assert all(len(p) >= quality.SHORT_CHUNK for p in parts)
+
+
 def test_documents_of_good_quality_stay(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     report = {r["doc_id"]: r for r in quality.quality_report(docs).collect()}
