@@ -155,7 +155,9 @@ def format_chats(turns: DataFrame, conversation: str, order: str) -> DataFrame:
     ``turns`` has a record's turns per row; rows come in the order of ``order`` (null first), rows of one place by role
     and text, and repeated rows stay. A null role is written as the empty string. Places are code points, the end
     exclusive. A conversation is one training text, so it is put together in one task; rows without an id are one
-    conversation with a null id. An empty table gives no rows.
+    conversation with a null id, as the SQL counterpart groups them. The rows of a conversation are one array and its
+    text one string, so each is bounded by what one value holds (2 GB) and by a task's memory; beyond that the query
+    ends with an error. An empty table gives no rows.
     """
     flat = turns.select(conversation, F.col(order).alias("__order"), F.posexplode("turns").alias("__at", "__turn")).select(
         conversation, "__order", F.col("__turn.role").alias("__role"), F.col("__turn.text").alias("__text"), "__at"
