@@ -9,10 +9,10 @@ from clearbrook.llm import queries
 def test_all_are_registered():
     named = contract.queries()
     assert set(queries.QUERIES) < set(named) and "pipeline" in named
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op11_hard_negatives"}))
 def test_queries_return_their_whole_table(name, spark, folder):
     table, key = ("conversations", "conv_id") if name.startswith("op5") else ("documents", "doc_id")
     expected = {r[0] for r in spark.read.parquet(f"{folder}/{table}.parquet").select(key).collect()} | ({-7} if key == "conv_id" else set())
