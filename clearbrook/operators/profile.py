@@ -62,6 +62,16 @@ def duplicate_estimate(df: DataFrame, keys: Sequence[str] = KEYS, null_keys: boo
     return key_counts(df, keys).agg(*outputs)
 
 
+def _invalid(customer: str, price: str, quantity: str, day: str) -> dict[str, Column]:
+    """Conditions of the baseline's counters."""
+    return {
+        "n_missing_customer": F.col(customer).isNull(),
+        "n_price_zero_or_null": not_positive(price),
+        "n_qty_invalid": not_positive(quantity),
+        "n_date_null": F.col(day).isNull(),
+    }
+
+
 def invalid_counts(
     df: DataFrame,
     customer: str = "customer_id",
@@ -69,12 +79,19 @@ def invalid_counts(
     quantity: str = "quantity",
     day: str = "date_parsed",
 ) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(customer).isNull()).alias("n_missing_customer"),
-        F.count_if(not_positive(price)).alias("n_price_zero_or_null"),
-        F.count_if(not_positive(quantity)).alias("n_qty_invalid"),
-        F.count_if(F.col(day).isNull()).alias("n_date_null"),
+    counters = _invalid(customer, price, quantity, day)
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(name) for name, c in counters.items()])
+
+
+def counts_with_keys(df: DataFrame, keys: Sequence[str], counters: Mapping[str, Column], figures: Sequence[Column]) -> DataFrame:
+    """Counters over rows and figures over keys in one aggregation by key.
+
+    ``figures`` aggregate ``cnt``, the rows of each key; both come out of one pass and one shuffle.
+    """
+    by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"), *[F.count_if(c).alias(name) for name, c in counters.items()])
+    return by_key.agg(
+        F.coalesce(F.sum("cnt"), F.lit(0)).cast("long").alias("n_rows"), *figures,
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("long").alias(name) for name in counters],
     )
 
 
@@ -97,7 +114,15 @@ def price_percentiles(
 
 def baseline_checks(df: DataFrame, keys: Sequence[str] = KEYS, method: str = "distributed") -> DataFrame:
     """The nine-figure baseline record."""
-    record = one_row(invalid_counts(df), duplicate_summary(df, keys), price_percentiles(df, method=method))
+    repeated = F.col("cnt") > 1
+    counts = counts_with_keys(
+        df, keys, _invalid("customer_id", "unit_price", "quantity", "date_parsed"),
+        [
+            F.count_if(repeated).alias("n_dup_pairs"),
+            F.coalesce(F.sum(F.when(repeated, F.col("cnt"))), F.lit(0)).cast("long").alias("n_dup_rows"),
+        ],
+    )
+    record = one_row(counts, price_percentiles(df, method=method))
     return record.select(
         "n_rows", "n_dup_pairs", "n_dup_rows", "n_missing_customer", "n_price_zero_or_null",
         "n_qty_invalid", "n_date_null", "p01", "p99",

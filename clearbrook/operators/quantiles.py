@@ -1,13 +1,19 @@
 """Exact interpolated quantiles without gathering the values of a group.
 
-Values are counted in a distributed way and the wanted ranks located step by step:
+Values are counted in a distributed way and the wanted ranks located by prefixes of the values, as in a histogram of
+three levels.  A prefix is computed from the value alone and never decreases as the value grows:
 
 1. equal values collapse into one counted row (partial aggregation, so a value or a group holding a third of the rows
    costs no more than any other);
 2. counts per logarithmic bucket, cumulated per group, name the bucket that holds each wanted rank.  Buckets follow the
    magnitude of a double, so their number per group is bounded whatever the number of rows;
-3. the chosen buckets alone are cut into equal-width slices and located again, and the chosen slices once more;
-4. only the values inside the last slices are ranked.
+3. every bucket has the same number of slices of equal width, from the bucket's own bounds and not from the data's;
+   those of the chosen buckets are cumulated and the slices of the wanted ranks named;
+4. only the values inside these slices, at most ``2 ** 24`` different doubles each, are ranked.
+
+Every level reads the counted values once, and cumulates with one window: three of each, whatever the number of
+probabilities.  With groups the named cells reach the values by joins, which adaptive execution broadcasts when they are
+small; without groups they are a few numbers in a scalar subquery and there is no join at all.
 
 It is one lazy plan at every size; nothing is counted or collected while it is built.  ``method="gathered"`` takes the
 built-in aggregate instead, which holds every distinct value of a group in one task: for groups that the caller knows
@@ -17,6 +23,7 @@ to be small.  Both interpolate alike, to the last bit.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,9 +31,7 @@ from pyspark.sql import functions as F
 from clearbrook.operators.joins import null_safe_join
 
 BUCKETS_PER_OCTAVE = 256
-SLICES = 4096
-# Cuts of a bucket: its width shrinks to 2 ** -32 of the value.
-CUTS = 2
+SLICES = 1 << 20
 _OCTAVE_SHIFT = 1080  # log2 of the smallest double is -1074
 _TOP_BUCKET = (_OCTAVE_SHIFT + 1100) * BUCKETS_PER_OCTAVE
 
@@ -43,10 +48,15 @@ def _magnitude_bucket(x: Column) -> Column:
     )
 
 
-def _slice(x: Column, low: Column, high: Column) -> Column:
-    width = high - low
-    share = F.when(width > 0, (x - low) / F.when(width > 0, width))
-    return F.coalesce(F.floor(share * SLICES), F.lit(0)).cast("long")
+def _slice(x: Column, bucket: Column) -> Column:
+    """The slice of ``x`` inside its bucket, from the bucket's analytic bounds; never decreases as ``x`` grows."""
+    size = F.abs(bucket) - F.lit(_OCTAVE_SHIFT * BUCKETS_PER_OCTAVE)
+    low = F.pow(F.lit(2.0), size / BUCKETS_PER_OCTAVE)
+    width = F.pow(F.lit(2.0), (size + 1) / BUCKETS_PER_OCTAVE) - low
+    share = F.greatest(F.least((F.abs(x) - low) / width, F.lit(1.0)), F.lit(0.0))
+    # Zero, the odd values, and buckets among the smallest doubles whose bounds fall together have one slice.
+    plain = (bucket != 0) & (F.abs(bucket) < _TOP_BUCKET) & (width > 0)
+    return F.when(plain, F.signum(x).cast("long") * F.floor(share * SLICES)).otherwise(F.lit(0)).cast("long")
 
 
 def _window(columns: Sequence[str]):
@@ -108,21 +118,28 @@ def _gathered(df, column, probabilities, by, count_as) -> DataFrame:
     return found.select(*by, *outputs)
 
 
-def _distributed(df, column, probabilities, by, count_as) -> DataFrame:
-    by = list(by)
-    counts = value_counts(df, column, by).withColumn("b", _magnitude_bucket(F.col("x")))
+def _inside(rows: DataFrame, chosen: DataFrame, by: Sequence[str], place: Sequence[str]) -> DataFrame:
+    """Rows of the chosen cells, with the cell's ``n`` and ``ranks``."""
+    if by:
+        return null_safe_join(rows, chosen, [*by, *place])
+    # At most two cells per probability; as a scalar they reach the rows without a join.
+    cells = chosen.agg(F.collect_list(F.struct(*place, "n", "ranks"))).scalar()
+    same = lambda c: reduce(lambda a, b: a & b, [c[p] == F.col(p) for p in place])
+    # Exploded rather than looked up, as a column used twice would repeat the subquery in the plan.
+    found = rows.withColumn("__cells", cells).select("*", F.explode(F.filter("__cells", same)).alias("__cell"))
+    return found.select(*rows.columns, F.col("__cell.n").alias("n"), F.col("__cell.ranks").alias("ranks"))
 
-    # Step 2: which bucket holds each rank.
-    buckets = counts.groupBy(*by, "b").agg(
-        F.sum("c").alias("bc"), F.min("x").alias("low"), F.max("x").alias("high")
-    )
-    group = _window(by)
-    upto = group.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = buckets.select(
-        *by, "b", "low", "high", "bc",
-        (F.sum("bc").over(upto) - F.col("bc")).alias("before"),
-        F.sum("bc").over(group).alias("n"),
-    )
+
+def _located(cells: DataFrame, by: Sequence[str], place: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """The cells that hold a wanted rank, with the ranks made relative to the cell."""
+    upto = _window([*by, *within]).orderBy(place[-1]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = cells.withColumn("before", F.sum("cell").over(upto) - F.col("cell"))
+    wanted = _wanted_inside(F.col("ranks"), F.col("before"), F.col("cell"))
+    return counted.select(*by, *place, "n", wanted.alias("ranks")).where(F.size("ranks") > 0)
+
+
+def _ranks(probabilities: Mapping[str, float]) -> Column:
+    """The two ranks around each quantile's position among ``n`` values."""
     ranks = []
     for i, probability in enumerate(probabilities.values()):
         position = F.lit(float(probability)) * (F.col("n") - 1)
@@ -134,40 +151,29 @@ def _distributed(df, column, probabilities, by, count_as) -> DataFrame:
                     k.cast("long").alias("k"), F.lit(upper).alias("upper"),
                 )
             )
-    wanted = _wanted_inside(F.array(*ranks), F.col("before"), F.col("bc"))
-    chosen = buckets.select(*by, "b", "low", "high", "n", wanted.alias("ranks")).where(F.size("ranks") > 0)
-    if not by:
-        chosen = F.broadcast(chosen)  # at most two buckets per probability
-
-    # Step 3: the same inside the chosen buckets, by equal-width slices.
-    place, values = ["b"], counts
-    for cut in range(CUTS):
-        sliced = f"s{cut}"
-        inside = (
-            null_safe_join(values.drop("n", "ranks", "low", "high"), chosen, [*by, *place])
-            .withColumn(sliced, _slice(F.col("x"), F.col("low"), F.col("high")))
-            .drop("low", "high")
-        )
-        slices = inside.groupBy(*by, *place, sliced).agg(
-            F.sum("c").alias("sc"), F.first("ranks").alias("ranks"), F.first("n").alias("n"),
-            F.min("x").alias("low"), F.max("x").alias("high"),
-        )
-        upto = _window([*by, *place]).orderBy(sliced).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        slices = slices.withColumn("before", F.sum("sc").over(upto) - F.col("sc"))
-        wanted = _wanted_inside(F.col("ranks"), F.col("before"), F.col("sc"))
-        chosen = slices.select(*by, *place, sliced, "low", "high", "n", wanted.alias("ranks")).where(F.size("ranks") > 0)
-        if not by:
-            chosen = F.broadcast(chosen)  # at most two slices per probability
-        place, values = [*place, sliced], inside
+    return F.array(*ranks)
 
-    # Step 4: rank the few values left.
-    final = null_safe_join(values.drop("n", "ranks"), chosen.drop("low", "high"), [*by, *place])
-    upto = _window([*by, *place]).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    final = final.withColumn("before", F.sum("c").over(upto) - F.col("c"))
-    found = final.select(
-        *by, "x", "n",
-        F.explode(_wanted_inside(F.col("ranks"), F.col("before"), F.col("c"))).alias("r"),
+
+def _distributed(df, column, probabilities, by, count_as) -> DataFrame:
+    by = list(by)
+    counts = value_counts(df, column, by).withColumn("b", _magnitude_bucket(F.col("x")))
+
+    # Step 2: which bucket holds each rank.
+    buckets = counts.groupBy(*by, "b").agg(F.sum("c").alias("cell"))
+    whole = _window(by).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # ordered as in _located
+    buckets = buckets.withColumn("n", F.sum("cell").over(whole)).withColumn("ranks", _ranks(probabilities))
+    chosen = _located(buckets, by, ["b"], [])
+
+    # Step 3: which of the bucket's slices.
+    sliced = counts.withColumn("s", _slice(F.col("x"), F.col("b")))
+    slices = _inside(sliced, chosen, by, ["b"]).groupBy(*by, "b", "s").agg(
+        F.sum("c").alias("cell"), F.first("n").alias("n"), F.first("ranks").alias("ranks")
     )
+    chosen = _located(slices, by, ["b", "s"], ["b"])
+
+    # Step 4: rank the few values left.
+    values = _inside(sliced, chosen, by, ["b", "s"]).withColumnRenamed("c", "cell")
+    found = _located(values, by, ["b", "s", "x"], ["b", "s"]).select(*by, "x", "n", F.explode("ranks").alias("r"))
 
     outputs = []
     for i, alias in enumerate(probabilities):

@@ -21,24 +21,27 @@ def seasonality_block(flags: DataFrame) -> DataFrame:
 
 
 def evidence_tables(
-    staged: DataFrame, cleaned: DataFrame, start: str | None = None, end: str | None = None,
+    staged: DataFrame, cleaned: DataFrame | None, start: str | None = None, end: str | None = None,
     days: Sequence[str] | None = None, calendar: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Tables by name, all from the same two inputs.
 
-    Both are read several times, so give tables that are written (see ``session.written``), not plans.
+    Both are read several times, so give tables that are written (see ``session.written``), not plans. Without
+    ``cleaned`` the tables that compare both sides are left out.
     """
     flags = seasonality_flags(seasonality(staged, start, end))
     drift = label_drift(staged)
-    before, after = table_metrics(staged), table_metrics(cleaned)
     shown = flags if days is None else flags.where(F.col("d").isin(*[F.lit(d).cast("date") for d in days]))
-    return {
+    tables = {
         "seasonality": seasonality_block(shown),
         "flagged_days": flagged_days(flags),
         "verdicts": classify_days(flags, calendar),
         "labels": drift,
         "labels_off_domain": label_off_domain(drift),
         "off_domain_total": off_domain_total(drift),
-        "before_after": before_after_long(before, after),
-        "gates": gate_report(gates(before, after)),
     }
+    if cleaned is not None:
+        before, after = table_metrics(staged), table_metrics(cleaned)
+        tables["before_after"] = before_after_long(before, after)
+        tables["gates"] = gate_report(gates(before, after))
+    return tables

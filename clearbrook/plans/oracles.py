@@ -325,7 +325,7 @@ def _evidence() -> dict[str, str]:
     filled = f"""
   daily AS (SELECT store_id, date_parsed AS d, COUNT(*) AS n_rows, COUNT(DISTINCT order_id) AS n_orders,
               SUM(unit_price * quantity) AS revenue FROM stg
-            WHERE date_parsed IS NOT NULL AND dayofweek(date_parsed) <> 0 GROUP BY store_id, date_parsed),
+            WHERE date_parsed IS NOT NULL GROUP BY store_id, date_parsed),
   calendar AS (SELECT store_id, CAST(unnest(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY)) AS DATE) AS d
                FROM daily GROUP BY store_id),
   filled AS (SELECT c.store_id, c.d, coalesce(n_rows, 0) AS n_rows, coalesce(n_orders, 0) AS n_orders,
@@ -334,24 +334,30 @@ def _evidence() -> dict[str, str]:
     verdict = """CASE WHEN has_excess_rows THEN 'bug' {} WHEN is_drop THEN 'business' WHEN is_spike THEN 'unexplained_spike'
   ELSE 'normal' END AS verdict"""
     explained = "WHEN is_drop AND holiday IS NOT NULL THEN 'explained'"
+    judged = f"SELECT d, n_rows, dup_rows_no_dia, {verdict.format('')} FROM flags"
+    marks = " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, d FROM flags WHERE {mark}"
+        for kind, mark in (("drop", "is_drop"), ("spike", "is_spike"), ("excess_rows", "has_excess_rows"))
+    )
+    shown = f"d BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
     return {
         "daily_rollup": over_sales("SELECT d, n_rows, n_orders, round(revenue, 6) AS revenue FROM daily", DAILY),
         "moving_average_prev7": over_sales("SELECT d, n_rows, round(ma7_prev, 6) AS ma7_prev FROM series", SERIES),
         "lag_wow": over_sales("SELECT d, n_rows, n_rows_wow FROM series", SERIES),
         "seasonality_daily": over_sales(
-            f"SELECT {SERIES_COLUMNS} FROM series WHERE d BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}' ORDER BY d", SERIES
+            f"SELECT {SERIES_COLUMNS} FROM series WHERE {shown} ORDER BY d", SERIES
         ),
         "seasonality_by_store": over_sales(f"SELECT store_id, {SERIES_COLUMNS} FROM series", by_store),
-        "seasonality_full_calendar": over_sales(f"SELECT store_id, {SERIES_COLUMNS} FROM series", filled),
+        "seasonality_full_calendar": over_sales(f"SELECT store_id, {SERIES_COLUMNS} FROM series", filled, variant="sundays"),
         "seasonality_flags": over_sales(f"SELECT {SERIES_COLUMNS}, is_drop, is_spike, has_excess_rows FROM flags", FLAGS),
         "seasonality_selected_days": over_sales(
             f"SELECT d, n_rows, n_orders, dup_rows_no_dia, format('{{:+.1f}}%', dev_vs_ma7 * 100) AS deviation "
             f"FROM flags WHERE d IN ({days})", FLAGS
         ),
-        "flagged_days": over_sales("""
-SELECT 'drop' AS kind, d FROM flags WHERE is_drop UNION ALL SELECT 'spike', d FROM flags WHERE is_spike
-UNION ALL SELECT 'excess_rows', d FROM flags WHERE has_excess_rows""", FLAGS),
-        "classify_days": over_sales(f"SELECT d, n_rows, dup_rows_no_dia, {verdict.format('')} FROM flags", FLAGS),
+        "flagged_days": over_sales(marks, FLAGS),
+        "evidence_flagged_days": over_sales(f"SELECT * FROM ({marks}) AS m WHERE {shown}", FLAGS),
+        "classify_days": over_sales(judged, FLAGS),
+        "evidence_verdicts": over_sales(f"{judged} WHERE {shown}", FLAGS),
         "classify_days_calendar": over_sales(
             f"SELECT f.d, n_rows, holiday, {verdict.format(explained)} "
             f"FROM flags f LEFT JOIN (VALUES {holidays}) AS h(d, holiday) ON f.d = h.d", FLAGS
@@ -362,6 +368,7 @@ UNION ALL SELECT 'excess_rows', d FROM flags WHERE has_excess_rows""", FLAGS),
         ),
         "chart_labels": over_sales("SELECT channel_raw, n, in_domain FROM variants", VARIANTS),
         "label_variants": over_sales("SELECT channel_raw, channel_norm, n FROM variants ORDER BY n DESC, channel_raw", VARIANTS),
+        "evidence_labels": over_sales("SELECT * FROM variants", VARIANTS),
         "label_off_domain": over_sales("SELECT * FROM variants WHERE NOT in_domain", VARIANTS),
         "label_off_domain_total": over_sales(
             "SELECT CAST(coalesce(SUM(n), 0) AS BIGINT) AS n_rows, COUNT(*) AS n_labels FROM variants WHERE NOT in_domain", VARIANTS
@@ -577,7 +584,7 @@ FROM lineitem JOIN middles USING (l_suppkey) WHERE l_extendedprice > 1.9 * middl
 
 #: Evidence tables and the queries that show the same rows.
 SAME_ROWS = {
-    "evidence_seasonality": "seasonality_selected_days", "evidence_flagged_days": "flagged_days", "evidence_verdicts": "classify_days",
+    "evidence_seasonality": "seasonality_selected_days", "evidence_off_domain_labels": "label_off_domain",
     "evidence_off_domain": "label_off_domain_total", "evidence_before_after": "before_after_long", "evidence_gates": "gate_report",
 }
 

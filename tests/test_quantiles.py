@@ -5,10 +5,11 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clearbrook.operators.clean import clean
 from clearbrook.operators.profile import baseline_checks, table_metrics
-from clearbrook.operators.quantiles import exact_quantiles
+from clearbrook.operators.quantiles import SLICES, _magnitude_bucket, _slice, exact_quantiles
 from clearbrook.operators.winsor import (
     outliers_vs_median, percentile_drift, trim_outliers, winsor_bounds, winsorize, winsorize_by_group,
 )
@@ -92,19 +93,47 @@ def test_both_ways_agree_to_the_last_bit(spark):
         exact_quantiles(frame, "v", PROBABILITIES, method="guess")
 
 
+@pytest.mark.parametrize("by", [[], ["g"], ["g", "h"]])
+def test_three_scans_and_three_windows(spark, tmp_path, by):
+    spark.range(100).selectExpr("id % 5 AS g", "id % 3 AS h", "cast(id AS double) AS v").write.parquet(f"{tmp_path}/t")
+    built = exact_quantiles(spark.read.parquet(f"{tmp_path}/t"), "v", PROBABILITIES, by, "n")
+    execution = built._jdf.queryExecution()
+    text = execution.optimizedPlan().toString()
+    assert text.count("Relation [") + text.count("Relation[") <= 3
+    assert text.count("Window [") <= 3
+    assert ("Join" in text) == bool(by)
+    # The plan does not grow with the number of quantiles.
+    many = exact_quantiles(spark.read.parquet(f"{tmp_path}/t"), "v", {f"q{k}": k / 20 for k in range(21)}, by)
+    wide = many._jdf.queryExecution().optimizedPlan().toString()
+    assert wide.count("Window [") == text.count("Window [") and wide.count("Join") == text.count("Join")
+
+
+def test_prefixes_follow_the_order_of_values(spark):
+    """From the smallest double to infinity, around zero, around every bucket's bounds."""
+    pick = random.Random(3)
+    values = [0.0, 5e-324, 2.2e-308, 1.7e308, float("inf"), 1.0, math.nextafter(1.0, 0), math.nextafter(1.0, 2)]
+    values += [2.0 ** (k / 7) for k in range(-7000, 7000, 13)] + [math.nextafter(2.0 ** (k / 256), 0) for k in range(-600, 600)]
+    values += [2.0 ** (k / 256) for k in range(-600, 600)] + [pick.lognormvariate(0, 40) for _ in range(3000)]
+    values = sorted({s * v for v in values for s in (1, -1)})
+    frame = spark.createDataFrame([(v,) for v in values], "x double").select("x", _magnitude_bucket(F.col("x")).alias("b"))
+    cells = [(r["b"], r["s"]) for r in frame.select("x", "b", _slice(F.col("x"), F.col("b")).alias("s")).orderBy("x").collect()]
+    assert cells == sorted(cells)
+    assert all(abs(s) <= SLICES for _, s in cells) and len(set(cells)) > len(values) * 0.6
+
+
 @pytest.mark.parametrize(
     "build",
     [clean, baseline_checks, table_metrics, lambda df: winsorize_by_group(df, ["product_id"]), outliers_vs_median],
     ids=["clean", "baseline_checks", "table_metrics", "winsorize_by_group", "outliers_vs_median"],
 )
-def test_no_job_runs_while_a_plan_is_built(spark, sales, build):
-    frame = sales(("1", "2025-07-01", "S", "P", 10.0))
-    spark.sparkContext.setJobGroup("building", "building")
+def test_no_job_runs_while_a_plan_is_built(spark, sales, build, request):
+    frame, group = sales(("1", "2025-07-01", "S", "P", 10.0)), request.node.name
+    spark.sparkContext.setJobGroup(group, group)
     try:
         built = build(frame)
-        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
         built.collect()
-        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) != []
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) != []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
