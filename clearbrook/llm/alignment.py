@@ -2,7 +2,9 @@
 
 Both id lists are laid over the text's bytes. Cumulative ends of the tokens are kept in a dictionary from end to index
 for either side; ends that both have, found by intersecting the two key sets and sorted, cut both lists into groups.
-Within a group every two tokens whose byte ranges overlap are linked.
+Within a group every two tokens whose byte ranges overlap are linked. Texts are taken word by word: a single space between
+plain characters begins a new token on either side whatever stands around it, so words are aligned independently of each
+other, and a worker remembers the words it has aligned.
 
 How often two ids are linked is counted over the corpus. Texts are worked on in bundles, each of which counts its own
 pairs first: a pair then goes into the shuffle once for a bundle instead of once for a text, and even a pair that every
@@ -15,7 +17,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
-from itertools import accumulate, count
+import re
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,13 @@ FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BYTES, TEXTS = 1 << 20, 500
 #: Ids of either tokenizer are below this.
 _IDS = 1 << 31
+#: The bytes of tokens that stand for no text; no text in UTF-8 has them.
+_NO_TEXT = b"\xff"
+#: Words remembered by a worker, and the characters of the longest one; beyond that it forgets them all and begins anew.
+_REMEMBERED, _LONGEST = 500_000, 64
+#: A space between characters that both tokenizers, and all versions of the Unicode tables, take for no white space.
+_PLAIN = "[!-~\u00c0-\u024f]"
+_BETWEEN = re.compile(f"(?<={_PLAIN})(?= {_PLAIN})")
 
 
 def _byte_of() -> dict[str, int]:
@@ -55,14 +65,17 @@ class ByteLevel:
         letters = _byte_of()
         with open(place(name), encoding="utf-8") as file:
             special = {t["id"] for t in json.load(file)["added_tokens"]}
-        self.bytes: list[bytes | None] = [None] * self.library.get_vocab_size()
+        self.bytes = [_NO_TEXT] * self.library.get_vocab_size()
         for token, number in self.library.get_vocab().items():
-            self.bytes[number] = None if number in special else bytes(map(letters.__getitem__, token))
+            if number not in special:
+                self.bytes[number] = bytes(map(letters.__getitem__, token))
 
-    def encode(self, text: str) -> list[int]:
-        if self.quick and _AGREED.fullmatch(text):
-            return self.quick(text)
-        return self.library.encode(text, add_special_tokens=False).ids
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text after a space."""
+        return [
+            self.quick(f" {t}") if self.quick and _AGREED.fullmatch(t) else self.library.encode(f" {t}", add_special_tokens=False).ids
+            for t in texts
+        ]
 
 
 class Pieces:
@@ -75,9 +88,12 @@ class Pieces:
             piece = self.library.id_to_piece(number)
             byte = self.library.is_byte(number)
             self.bytes.append(bytes([int(piece[3:-1], 16)]) if byte else piece.replace("▁", " ").encode("utf-8"))
+        #: Whether any piece goes on over a space after other characters.
+        self.across = any(b" " in b.lstrip(b" ") for b in self.bytes)
 
-    def encode(self, text: str) -> list[int]:
-        return self.library.encode(text, num_threads=1)
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text after a space."""
+        return self.library.encode(texts, num_threads=1)
 
 
 @functools.lru_cache(maxsize=4)
@@ -86,54 +102,85 @@ def _side(name: str) -> ByteLevel | Pieces:
 
 
 @functools.lru_cache(maxsize=4)
-def _written(name: str) -> tuple[list[int], list[str], list[str]]:
-    """For each id how many bytes it has, and how the first and the second side of a group write it."""
-    tokens = _side(name).bytes
-    return [len(b or b"") for b in tokens], [f"{n}|" for n in range(len(tokens))], [str(n) for n in range(len(tokens))]
-
-
-def tokens_of(text: str, first: str = FIRST, second: str = SECOND) -> tuple[list[int], list[int]] | None:
-    """The ids of both sides, or none where the bytes of either are not those of a space and the text."""
-    if not text:
-        return None
-    try:
-        whole = f" {text}".encode("utf-8")
-    except UnicodeEncodeError:
-        return None
+def _sizes(name: str) -> list[int]:
+    """How many bytes each id has."""
+    return [len(b) for b in _side(name).bytes]
+
+
+def tokens_of(texts: list[str], first: str = FIRST, second: str = SECOND) -> list[tuple[list[int], list[int]] | None]:
+    """The ids of both sides for each text after a space; none where the bytes of either are not those of text and space."""
     a, b = _side(first), _side(second)
-    left, right = a.encode(f" {text}"), b.encode(text)
-    for side, ids in ((a, left), (b, right)):
-        if any(side.bytes[i] is None for i in set(ids)) or b"".join(map(side.bytes.__getitem__, ids)) != whole:
-            return None
-    return left, right
-
-
-def aligned(left: list[int], right: list[int], first: str = FIRST, second: str = SECOND) -> tuple[list[str], list[int], list[int]]:
-    """The groups as texts, and the linked ids of both sides, one entry for each link."""
-    size_a, one_a, _ = _written(first)
-    size_b, _, one_b = _written(second)
-    ends_a, ends_b = list(accumulate(map(size_a.__getitem__, left))), list(accumulate(map(size_b.__getitem__, right)))
+    bytes_a, bytes_b = a.bytes.__getitem__, b.bytes.__getitem__
+    found = []
+    for text, left, right in zip(texts, a.encode(texts), b.encode(texts)):
+        whole = f" {text}".encode("utf-8", "replace")  # a half of a character pair becomes another byte on either side
+        same = b"".join(map(bytes_a, left)) == whole == b"".join(map(bytes_b, right))
+        found.append((left, right) if same else None)
+    return found
+
+
+def aligned(left: list[int], right: list[int], first: str = FIRST, second: str = SECOND) -> tuple[list[str], list[int]]:
+    """The groups as texts, and the linked ids of both sides as one number for each link."""
+    sizes_a, sizes_b = _sizes(first), _sizes(second)
+    ends_a, ends_b = list(accumulate(map(sizes_a.__getitem__, left))), list(accumulate(map(sizes_b.__getitem__, right)))
     at_a, at_b = dict(zip(ends_a, count(1))), dict(zip(ends_b, count(1)))
-    common = sorted(at_a.keys() & at_b.keys())
-    groups, links_a, links_b = [], [], []
-    i = j = 0
-    for k, m in zip(map(at_a.__getitem__, common), map(at_b.__getitem__, common)):
-        if k - i == 1 and m - j == 1:
-            a, b = left[i], right[j]
-            groups.append(one_a[a] + one_b[b])
-            links_a.append(a)
-            links_b.append(b)
-        else:
-            groups.append(f"{','.join(map(str, left[i:k]))}|{','.join(map(str, right[j:m]))}")
-            x, y = i, j
-            while x < k and y < m:  # no token is empty, so two of a group overlap until one of them has ended
-                links_a.append(left[x])
-                links_b.append(right[y])
-                end_a, end_b = ends_a[x], ends_b[y]
-                x += end_a <= end_b
-                y += end_b <= end_a
+    groups, links, i, j = [], [], 0, 0
+    for end in sorted(at_a.keys() & at_b.keys()):
+        k, m = at_a[end], at_b[end]
+        if k - i == 1 == m - j:
+            groups.append(f"{left[i]}|{right[j]}")
+            links.append(left[i] * _IDS + right[j])
+            i, j = k, m
+            continue
+        groups.append(f"{','.join(map(str, left[i:k]))}|{','.join(map(str, right[j:m]))}")
+        x, y = i, j
+        while x < k and y < m:  # no token is empty, so two of a group overlap until one of them has ended
+            links.append(left[x] * _IDS + right[y])
+            end_a, end_b = ends_a[x], ends_b[y]
+            x += end_a <= end_b
+            y += end_b <= end_a
         i, j = k, m
-    return groups, links_a, links_b
+    return groups, links
+
+
+class Words(dict):
+    """What a word comes to: tokens of both sides, groups, the groups as text, and links; none where bytes differ."""
+
+    def __init__(self, first: str, second: str) -> None:
+        self.names = first, second
+        side = _side(second)
+        #: Whether the second side never joins a word to the one before it.
+        self.apart = isinstance(_side(first), ByteLevel) and isinstance(side, Pieces) and not side.across
+
+    def _learned(self, words: list[str]) -> dict[str, tuple | None]:
+        """What words come to that are not known yet, which are then, but for very long ones."""
+        made = {}
+        for word, sides in zip(words, tokens_of(words, *self.names)):
+            made[word] = None
+            if sides:
+                groups, links = aligned(*sides, *self.names)
+                made[word] = len(sides[0]), len(sides[1]), len(groups), ";".join(groups), links
+        self.update((w, m) for w, m in made.items() if len(w) <= _LONGEST)
+        return made
+
+    def text(self, text: str) -> tuple[int, int, int, int, str, np.ndarray]:
+        """Tokens of both sides, groups, links, the groups' digest, and the linked ids."""
+        words = [w[1:] for w in _BETWEEN.split(f" {text}")] if self.apart else [text]
+        if len(self) + len(words) > _REMEMBERED:
+            self.clear()
+        new = self._learned([w for w in dict.fromkeys(words) if w not in self]) if text else {}
+        parts = [self[w] if w in self else new[w] for w in words] if text else [None]
+        if None in parts:
+            return 0, 0, 0, 0, "", np.empty(0, np.int64)
+        n_a, n_b, n_groups, groups, links = zip(*parts)
+        linked = np.fromiter(chain.from_iterable(links), np.int64)
+        return sum(n_a), sum(n_b), sum(n_groups), len(linked), hashlib.sha256(";".join(groups).encode()).hexdigest(), linked
+
+
+@functools.lru_cache(maxsize=2)
+def words_of(first: str, second: str) -> Words:
+    """One per process and pair of tokenizers; what it remembers serves later tasks of the same worker."""
+    return Words(first, second)
 
 
 _DIGITS = {"n_a": T.LongType(), "n_b": T.LongType(), "n_groups": T.LongType(), "n_links": T.LongType(), "groups_sha256": T.StringType()}
@@ -168,7 +215,7 @@ def bundles(docs: DataFrame, first: str = FIRST, second: str = SECOND) -> DataFr
                           + [T.StructField(n, T.ArrayType(t)) for n, t in {**_DIGITS, **more}.items()])
 
     def run(batches):
-        number = TaskContext.get().partitionId() << 32
+        number, words = TaskContext.get().partitionId() << 32, words_of(first, second)
         arrow = None
         for batch in batches:
             arrow = arrow or pa.schema(
@@ -179,13 +226,7 @@ def bundles(docs: DataFrame, first: str = FIRST, second: str = SECOND) -> DataFr
             for at, text in enumerate(batch.column(1)):
                 text = text.as_py() or ""
                 size += len(text)
-                sides = tokens_of(text, first, second)
-                if sides is None:
-                    rows.append((0, 0, 0, 0, "", np.empty(0, np.int64)))
-                else:
-                    groups, a, b = aligned(*sides, first, second)
-                    digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-                    rows.append((len(sides[0]), len(sides[1]), len(groups), len(a), digest, np.array(a, np.int64) * _IDS + np.array(b, np.int64)))
+                rows.append(words.text(text))
                 if size >= BYTES or len(rows) == TEXTS or at + 1 == batch.num_rows:
                     yield _bundle(number, batch.column(0).slice(begin, len(rows)), rows, arrow)
                     number, begin, rows, size = number + 1, at + 1, [], 0

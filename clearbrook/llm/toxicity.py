@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from clearbrook.llm.common import ID, TEXT, texts
 
 #: Labelled texts that the model is fitted on at most, and windows of each of them at most (spread over the text).
-SAMPLE, SAMPLE_WINDOWS = 6000, 96
+SAMPLE, SAMPLE_WINDOWS = 6000, 48
 #: Words of a window, and words between the beginnings of two.
 WINDOW, STEP = 10, 5
 #: Lengths of the character n-grams; rows and columns of the embedding table.
@@ -92,21 +93,28 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(highest, -500, 500))))
 
 
-def fit(samples: list[tuple[list[list[str]], int]], seed: int = 7) -> Model:
-    """Train on texts given as their windows' words, each with its label (0 or 1)."""
+def fit(samples: list[tuple[list[str], int]], seed: int = 7) -> Model:
+    """Train on texts given as their windows (words with spaces between), each with its label (0 or 1)."""
     samples = [(w, y) for w, y in samples if w]
     labels = np.array([y for _, y in samples], np.float32)
     prior = float(labels.mean()) if len(labels) else 0.0
     if not 0 < prior < 1:
         return Model(prior)
     vocabulary: dict[str, int] = {}
-    tokens = np.array([vocabulary.setdefault(w, len(vocabulary)) for windows, _ in samples for words in windows for w in words])
-    bags = [subwords(w) for w in vocabulary]
-    bag_sizes = np.array([len(b) for b in bags])
-    flat = np.array([r for b in bags for r in b], np.int64)
-    bag_ends = np.cumsum(bag_sizes)
+    numbers, lengths, flat_rows, bag_lengths = array("i"), array("i"), array("i"), array("i")
+    for windows, _ in samples:
+        for window in windows:
+            words = window.split(" ")
+            numbers.extend([vocabulary.setdefault(w, len(vocabulary)) for w in words])
+            lengths.append(len(words))
+    for word in vocabulary:
+        rows = subwords(word)
+        flat_rows.extend(rows)
+        bag_lengths.append(len(rows))
+    tokens, flat, bag_sizes = (np.frombuffer(a, np.int32) for a in (numbers, flat_rows, bag_lengths))
+    bag_ends = np.cumsum(bag_sizes, dtype=np.int64)
     owner = np.repeat(np.arange(len(samples)), [len(windows) for windows, _ in samples])
-    ends = np.cumsum([len(words) for windows, _ in samples for words in windows])
+    ends = np.cumsum(np.frombuffer(lengths, np.int32), dtype=np.int64)
     begins = np.concatenate([[0], ends[:-1]])
     weight = np.where(labels == 1, 0.5 / prior, 0.5 / (1 - prior)) ** 0.5
 
@@ -174,8 +182,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFr
     return source.join(known, source[ID] == known["__id"]).where(~held_out(F.col(ID))).select(ID, TEXT, "label")
 
 
-def sample(rows: DataFrame, size: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -> list[tuple[list[list[str]], int]]:
-    """At most ``size`` texts with the smallest hashes of their ids, as the words of at most ``windows`` windows each.
+def sample(rows: DataFrame, size: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -> list[tuple[list[str], int]]:
+    """At most ``size`` texts with the smallest hashes of their ids, as at most ``windows`` windows of each.
 
     That is what goes to the driver: its bound is the product of the two parameters and a window's words.
     """
@@ -196,7 +204,7 @@ def sample(rows: DataFrame, size: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -
     first = rows.select(F.xxhash64(ID).alias("at"), ID, "label", TEXT).orderBy("at", ID, F.xxhash64(TEXT)).limit(size)
     found = first.mapInArrow(run, schema).collect()
     found.sort(key=lambda r: (r["at"], r[ID], r["windows"]))
-    return [([w.split(" ") for w in r["windows"]], r["label"]) for r in found]
+    return [(r["windows"], r["label"]) for r in found]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SAMPLE) -> DataFrame:

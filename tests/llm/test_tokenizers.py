@@ -6,6 +6,8 @@ import hashlib
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from clearbrook.llm import alignment
@@ -57,14 +59,42 @@ def _plain(text):
 @pytest.mark.parametrize("text", ODD)
 def test_one_text(text):
     n_a, n_b, groups, links = _plain(text)
-    sides = alignment.tokens_of(text)
+    sides = alignment.tokens_of([text])[0] if text else None
     assert (sides is None) == (groups is None)
     if sides:
-        found, a, b = alignment.aligned(*sides)
+        found, pairs = alignment.aligned(*sides)
         assert (len(sides[0]), len(sides[1])) == (n_a, n_b) and len(found) == len(groups)
-        assert sorted(zip(a, b)) == sorted(links)
+        assert sorted((p // alignment._IDS, p % alignment._IDS) for p in pairs) == sorted(links)
         if n_a < 400:
             assert found == ["|".join(",".join(map(str, side)) for side in group) for group in groups]
+    assert alignment.words_of(alignment.FIRST, alignment.SECOND).text(text)[:4] == (n_a, n_b, len(groups or []), len(links))
+
+
+def _whole(text):
+    """The figures of a text taken as one piece."""
+    sides = alignment.tokens_of([text])[0] if text else None
+    if not sides:
+        return 0, 0, 0, 0, "", []
+    groups, links = alignment.aligned(*sides)
+    return len(sides[0]), len(sides[1]), len(groups), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest(), links
+
+
+WORDS = ["the", "it's", "'t", "naïve", "x", "3.14", "2024-01-09", "a_b", "<|endoftext|>", "</s>", "▁", "漢字", "😀", "\n", "\t", "\x1c", "\x85", "\xa0", "\u3000",
+         "\u200b", "", " ", "  ", "Ä", "ß", "ø.", "(x)", "--", "é", "\u0301", "ﬁ", "the.The", "\r\n", "<0x0A>", "\x00"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(WORDS), st.sampled_from([" ", "", " ", "\n", "  "])), max_size=25))
+def test_words_come_to_what_the_whole_text_comes_to(parts):
+    text = "".join(a + b for a, b in parts)
+    *figures, links = alignment.words_of(alignment.FIRST, alignment.SECOND).text(text)
+    assert (*figures, links.tolist()) == _whole(text)
+
+
+def test_documents_by_words_and_whole(spark, folder):
+    for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect():
+        *figures, links = alignment.words_of(alignment.FIRST, alignment.SECOND).text(r["text"] or "")
+        assert (*figures, links.tolist()) == _whole(r["text"] or "")
 
 
 def test_counts_over_the_corpus(spark, monkeypatch):

@@ -41,7 +41,7 @@ def test_new_spellings_share_vectors():
         words = [clean[(k * 7 + n * n) % len(clean)] for n in range(toxicity.WINDOW)]
         if k % 3 == 0:
             words[k % len(words)] = ("blockhead", "scoundrel", "nincompoop")[k // 3 % 3]
-        samples.append(([words], int(k % 3 == 0)))
+        samples.append(([" ".join(words)], int(k % 3 == 0)))
     model = toxicity.fit(samples)
     frame = " ".join(clean[:8])
     assert model.score(f"{frame} {frame}") < 0.5
@@ -50,7 +50,7 @@ def test_new_spellings_share_vectors():
 
 
 def test_a_long_text_is_as_toxic_as_its_worst_window():
-    samples = [([["good", "day", "dear", "friends", "of", "mine"][: 3 + k % 4] + ["villain"] * (k % 2)], k % 2) for k in range(200)]
+    samples = [([" ".join(["good", "day", "dear", "friends", "of", "mine"][: 3 + k % 4] + ["villain"] * (k % 2))], k % 2) for k in range(200)]
     model = toxicity.fit(samples)
     assert model.score("good day dear friends " * 3000) < 0.5 < model.score("good day dear friends " * 1500 + "villain " + "good day dear friends " * 1500)
 
