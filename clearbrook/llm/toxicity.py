@@ -173,22 +173,27 @@ def held_out(ids) -> F.Column:
     return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
-    """Ids, texts and labels to learn from: one label for each id, the more frequent one (1 when both are)."""
-    known = labels.where(labels[label].isNotNull() & labels[ID].isNotNull()).groupBy(labels[ID].alias("__id")).agg(
+def sampled_labels(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SAMPLE) -> DataFrame:
+    """At most ``size`` ids to learn from, with their label: those with the smallest hashes of their ids.
+
+    One label for each id, the more frequent one (1 when both are). Ids alone are read and shuffled, no texts.
+    """
+    known = labels.where(labels[label].isNotNull() & labels[ID].isNotNull()).groupBy(labels[ID].alias("id")).agg(
         (F.avg(labels[label].cast("double")) >= 0.5).cast("int").alias("label")
     )
-    source = texts(docs)
-    return source.join(known, source[ID] == known["__id"]).where(~held_out(F.col(ID))).select(ID, TEXT, "label")
+    present = known.join(docs.select(docs[ID].alias("id")), "id", "left_semi").where(~held_out(F.col("id")))
+    return present.select(F.xxhash64("id").alias("at"), "id", "label").orderBy("at", "id").limit(size)
 
 
-def sample(rows: DataFrame, size: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -> list[tuple[list[str], int]]:
-    """At most ``size`` texts with the smallest hashes of their ids, as at most ``windows`` windows of each.
+def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -> list[tuple[list[str], int]]:
+    """At most ``size`` labelled texts, as at most ``windows`` windows of each.
 
-    That is what goes to the driver: its bound is the product of the two parameters and a window's words.
+    That is what goes to the driver: its bound is the product of the two parameters and a window's words. The ids, which
+    have the first bound alone, are sent to the texts, so texts are not shuffled.
     """
-    kind = rows.schema[ID].dataType
-    schema = T.StructType([T.StructField("at", T.LongType()), T.StructField(ID, kind), T.StructField("label", T.IntegerType()), T.StructField("windows", T.ArrayType(T.StringType()))])
+    source, chosen = texts(docs), sampled_labels(docs, labels, label, size)
+    rows = source.join(F.broadcast(chosen), source[ID] == chosen["id"]).select("at", ID, "label", TEXT)
+    schema = T.StructType([*[rows.schema[c] for c in ("at", ID, "label")], T.StructField("windows", T.ArrayType(T.StringType()))])
 
     def run(batches):
         for batch in batches:
@@ -201,9 +206,8 @@ def sample(rows: DataFrame, size: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -
                 made.append([" ".join(words[s : s + WINDOW]) for s in starts])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(made, pa.list_(pa.string()))], names=schema.names)
 
-    first = rows.select(F.xxhash64(ID).alias("at"), ID, "label", TEXT).orderBy("at", ID, F.xxhash64(TEXT)).limit(size)
-    found = first.mapInArrow(run, schema).collect()
-    found.sort(key=lambda r: (r["at"], r[ID], r["windows"]))
+    # An id may stand in more than one row; the rows are bounded once more.
+    found = rows.mapInArrow(run, schema).orderBy("at", ID, "windows").limit(size).collect()
     return [(r["windows"], r["label"]) for r in found]
 
 
@@ -214,7 +218,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int
     texts in the sample; so does every text where the sample has texts of one kind only, and 0 where it is empty. Rows
     that are equal are scored alike; null ids stay, are held out, and have no labels. Other columns are not read.
     """
-    model = fit(sample(labelled(docs, labels, label), size))
+    model = fit(sample(docs, labels, label, size))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = texts(docs).select(ID, held_out(docs[ID]).alias("held_out"), TEXT)
     schema = T.StructType([source.schema[ID], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
