@@ -253,7 +253,9 @@ def _covered(matched: DataFrame) -> DataFrame:
             before = np.arange(REACH)
             owned = batch.column("owned").to_numpy(zero_copy_only=False)[:, None] >> before & 1 == 1
             row, k = np.nonzero(owned)
-            uncovered = (k > left[row]) | (REACH - 1 - k > right[row])
+            # A line that stands twice only has no third place where the same window could stand.
+            thrice = batch.column("thrice").to_numpy(zero_copy_only=False).astype(bool)
+            uncovered = ((k > left[row]) | (REACH - 1 - k > right[row])) & thrice[row]
             keys = batch.column("windows").flatten().to_numpy(zero_copy_only=False)[uncovered]
             row, k = row[uncovered], k[uncovered]
             begin = place[row] - k
@@ -281,9 +283,9 @@ def repeated_words(docs: DataFrame) -> DataFrame:
     order = [F.col(ID).isNull().alias("unnamed"), ID, "digest"]
     # Written, so that the join shuffles both sides for itself and can split a line that very many places share.
     least = F.min(F.struct(*order, "place", "around")).alias("first")
-    firsts = keep(found.groupBy("line").agg(least, F.count("*").alias("n")).where("n > 1").select("line", "first"), "firsts")
+    firsts = keep(found.groupBy("line").agg(least, F.count("*").alias("n")).where("n > 1").select("line", "first", (F.col("n") > 2).alias("thrice")), "firsts")
     matched = found.join(firsts, "line").where(~(_same("first") & (F.col("place") == F.col("first.place")))).select(
-        ID, "digest", "place", "around", "owned", "windows", F.col("first.place").alias("first"), F.col("first.around").alias("first_around"), _same("first").alias("same")
+        ID, "digest", "place", "around", "owned", "windows", F.col("first.place").alias("first"), F.col("first.around").alias("first_around"), _same("first").alias("same"), "thrice"
     )
     covered = keep(_covered(matched), "covered")
     discard(found)
