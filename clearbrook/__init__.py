@@ -6,8 +6,12 @@ from clearbrook.operators.clean import AGENT_RULES, LEGACY_RULES, REFERENCE_RULE
 from clearbrook.operators.compare import before_after_long, before_after_wide
 from clearbrook.operators.contracts import contract_violations, enforce_contract, idempotent_append
 from clearbrook.operators.dedupe import dedupe
+from clearbrook.operators.diff import row_diff
 from clearbrook.operators.drift import label_drift, label_off_domain, label_variants
 from clearbrook.operators.gates import decision, gate_report, gates
+from clearbrook.operators.grouped import apply_by_group
+from clearbrook.operators.merge import merge_history
+from clearbrook.operators.observed import enforce_load, observed_load
 from clearbrook.operators.profile import baseline_checks, table_metrics
 from clearbrook.operators.quantiles import exact_quantiles
 from clearbrook.operators.sandbox import dry_run, first_viable, readonly_query, readonly_records
@@ -23,4 +27,6 @@ from clearbrook.operators.winsor import (
 )
 from clearbrook.plans.evidence import evidence_tables
 from clearbrook.plans.workflow import apply_patch, run_workflow
+from clearbrook.sources.files import read_text_artifacts
 from clearbrook.sources.ingest import ingest, load_raw, stage_table
+from clearbrook.sources.versions import VersionedTable

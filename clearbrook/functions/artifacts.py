@@ -8,6 +8,7 @@ vectorised function, and texts without any sign of JSON are not sent to it.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -200,14 +201,14 @@ class SchemaError(ValueError):
     """Artifacts that do not have the form they must have."""
 
 
-def sanitize_strictly(artifacts: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """Path and clean text of all artifacts; an error that names them if any has a problem.
+def sanitize_strictly(artifacts: DataFrame, path: str = "path", content: str = "content", keep: Sequence[str] = ()) -> DataFrame:
+    """Path and clean text of all artifacts, beside the columns to ``keep``; an error that names them if any has a problem.
 
     Problems are counted on Spark; the first few messages reach the driver.
     """
-    judged = artifacts.select(F.col(path), sanitize(path, content, extract_json(content)).alias("judged"))
+    judged = artifacts.select(*keep, F.col(path), sanitize(path, content, extract_json(content)).alias("judged"))
     bad = judged.where(~F.col("judged.ok"))
     first = [m for row in bad.orderBy(path).limit(5).collect() for m in row["judged"]["problems"]]
     if first:
         raise SchemaError("; ".join(first))
-    return judged.select(path, F.col("judged.clean").alias("clean"))
+    return judged.select(*keep, path, F.col("judged.clean").alias("clean"))

@@ -13,16 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbrook.fixed_values import CHANNEL_MAP, DOCUMENTED_P01, DOCUMENTED_P99
-from clearbrook.functions.artifacts import artifact_violations, extract_json, sanitize, strip_fences
+from clearbrook.functions.artifacts import SchemaError, artifact_violations, extract_json, sanitize, sanitize_strictly, strip_fences
 from clearbrook.functions.clamps import clamp_null_to_high, clip
 from clearbrook.functions.labels import map_labels, map_labels_by_table, map_labels_or_default
 from clearbrook.functions.scalars import blank_to_null, composite_key, normalize_label, parse_date, safe_double, safe_int
 from clearbrook.functions.sqltext import audit_sql
 from clearbrook.operators import clean as cleaning
-from clearbrook.operators import compare, contracts, drift, gates, profile, publish, sandbox, seasonality, winsor
+from clearbrook.operators import (
+    compare, contracts, diff, drift, gates, grouped, merge, observed, profile, publish, sandbox, seasonality, sketches, winsor,
+)
 from clearbrook.operators.dedupe import dedupe, keep_first
 from clearbrook.operators.staging import stage_sales
-from clearbrook.plans import evidence, workflow
+from clearbrook.plans import evidence, reports, workflow
 from clearbrook.session import scratch_path, scratch_root, written
 from clearbrook.sources import files
 from clearbrook.sources.files import (
@@ -36,6 +38,7 @@ from clearbrook.sources.files import (
 )
 from clearbrook.sources.ingest import ingest
 from clearbrook.sources.sales import SALES_RAW_SQL, sales_raw, sales_staged
+from clearbrook.sources.versions import VersionedTable
 from clearbrook.streaming import start_contract_stream, start_dedupe_stream, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -922,3 +925,187 @@ def stream_contract(spark, folder):
     stream = _sales_stream(spark, folder)
     start_contract_stream(stream, target, rejected, checkpoint).awaitTermination()
     return rounded(spark.read.parquet(target).drop("load", "batch"))
+
+
+# --- stores that grow by the day ----------------------------------------------
+
+SKETCHED = {"p01": 0.01, "p50": 0.5, "p99": 0.99}
+
+
+def _sketch_store(spark, staged, **columns) -> str:
+    """Two loads, of which the second has one day of the first again."""
+    path, split = scratch_path(spark, "sketches"), F.lit(SPLIT_DAY).cast("date")
+    for part in (staged.where(F.col("date_parsed") <= split), staged.where(F.col("date_parsed") >= split)):
+        sketches.store_sketches(sketches.daily_sketches(part, "date_parsed", by=["store_id"], **columns), path)
+    return path
+
+
+@query
+def percentile_sketch_range(spark, folder):
+    """Estimates from stored days, judged by the rows: is the rank within the stated error?"""
+    staged = written(sales_staged(spark, folder), "staged")
+    path = _sketch_store(spark, staged, value="unit_price")
+    whole = sketches.merged(sketches.stored_range(spark, path, FIRST_DAY, LAST_DAY), ["store_id"])
+    rows = staged.where(F.col("date_parsed").between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")))
+    errors = sketches.rank_errors(rows, "unit_price", sketches.estimated_quantiles(whole, SKETCHED), SKETCHED, ["store_id"])
+    return errors.select("store_id", "probability", "n", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within"))
+
+
+@query
+def distinct_sketch_range(spark, folder):
+    staged = written(sales_staged(spark, folder), "staged")
+    path = _sketch_store(spark, staged, distinct="order_id")
+    whole = sketches.estimated_distinct(sketches.merged(sketches.stored_range(spark, path, FIRST_DAY, LAST_DAY), ["store_id"]))
+    rows = staged.where(F.col("date_parsed").between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")))
+    exact = rows.groupBy("store_id").agg(F.count_distinct("order_id").alias("n_orders"))
+    error = F.abs(F.col("n_distinct") - F.col("n_orders")) / F.col("n_orders")
+    return whole.join(exact, "store_id").select("store_id", "n_days", "n_orders", (error <= sketches.COUNT_ERROR).alias("within"))
+
+
+@query
+def contract_observed(spark, folder):
+    """Two loads checked while they are written: all rows, which are refused, and those that break no rule."""
+    staged = sales_staged(spark, folder)
+    table = VersionedTable(spark, scratch_path(spark, "observed"))
+    rules = contracts.sales_rules()
+    good = staged
+    for bad in rules.values():
+        good = good.where(~bad)
+    loads = {"all rows": staged, "good rows": dedupe(good.where(F.col("order_id").isNotNull()), order="any")}
+    rows = []
+    for name, frame in loads.items():
+        load = observed.observed_load(frame, table)
+        rows += [(name, load.n_rows, rule, n, load.version is not None) for rule, n in load.violations.items()]
+    judged = spark.createDataFrame(rows, "load string, n_rows long, rule string, violations long, published boolean")
+    # What readers see is the one load that kept every rule.
+    return judged.withColumn("rows_read", table.read().agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+CORRECTED_DAYS = ("2024-01-10", "2024-01-15")
+
+
+@query
+def merge_sales(spark, folder):
+    """Prices corrected and rows withdrawn on two days of a stored history."""
+    path, history = scratch_path(spark, "history"), written(dedupe(sales_staged(spark, folder)), "history-rows")
+    merge.write_history(history, path)
+    days = history.where(F.col("date_parsed").isin(*[F.lit(d).cast("date") for d in CORRECTED_DAYS]))
+    number = F.col("order_id").try_cast("long")
+    corrected = days.where(number % 7 == 0).withColumn("unit_price", F.col("unit_price") + 1)
+    merge.merge_history(spark, path, corrected, days.where(number % 11 == 0))
+    return rounded(merge.read_history(spark, path, history.schema))
+
+
+@query
+def publish_versions(spark, folder):
+    """The first version, the second, and what readers get after the first is brought back."""
+    staged = written(sales_staged(spark, folder, variant="keyed"), "staged")
+    table = VersionedTable(spark, scratch_path(spark, "versions"))
+    first = table.publish(cleaning.clean(staged, cleaning.AGENT_RULES).select("order_id", "date_parsed", "quantity", "channel_norm"))
+    second = table.publish(cleaning.clean(staged, cleaning.LEGACY_RULES).select("order_id", "date_parsed", "quantity", "channel_norm"), expected=first)
+    table.rollback(first)
+    roles = {"first": table.read(first), "second": table.read(second), "current": table.read()}
+    tagged = [df.select(F.lit(role).alias("role"), "*") for role, df in roles.items()]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
+# --- stored runs --------------------------------------------------------------
+
+
+def _stored_run(spark, folder) -> DataFrame:
+    """An approved run with two candidates that come to nothing, read back from the history."""
+    path = scratch_path(spark, "runs")
+    raw = written(sales_raw(spark, folder, closed=True), "raw")
+    target = f"{_database(spark)}.sales_clean"
+    candidates = [("never written", None), ("unknown column", BROKEN_PATCH_SQL.replace("gold.sales_clean", target))]
+    report = workflow.run_workflow(raw, candidates, target, approve=True, history=path)
+    return reports.read_reports(spark, path).where(F.col("run_id") == report["run_id"])
+
+
+@query
+def workflow_report(spark, folder):
+    """Metrics of all sides as the stored record has them, beside the run's outcome."""
+    run = _stored_run(spark, folder)
+    outcome = run.select("run_id", "patch", "applied", "decision")
+    return rounded(reports.reported_metrics(run).join(outcome, "run_id").drop("run_id"))
+
+
+@query
+def workflow_gates(spark, folder):
+    return reports.reported_gates(_stored_run(spark, folder)).select("gate", "passed")
+
+
+@query
+def fallback_notice(spark, folder):
+    """What was tried, and how many rows the patch that took effect has left."""
+    run = _stored_run(spark, folder)
+    rows = reports.reported_metrics(run).where("stage = 'gold_real' AND metric = 'n'").select("run_id", F.col("value").cast("long").alias("n_rows"))
+    tried = reports.reported_candidates(run).join(rows, "run_id")
+    return tried.select("candidate", "chosen", F.split("reason", "[:;]")[0].alias("reason"), "effective", "n_rows")
+
+
+# --- rows and groups ----------------------------------------------------------
+
+
+@query
+def patch_row_diff(spark, folder):
+    """Every row that the reference cleaning removes or changes, repeated and keyless ones too."""
+    staged, cleaned = _staged_and_cleaned(spark, folder)
+    columns = [*cleaning.SALES_COLUMNS, "channel_raw"]
+    found = diff.row_diff(staged.select(columns), cleaned.select(columns))
+    return found.groupBy("order_id", "date_parsed", "kind", F.array_join("changed_columns", ",").alias("changed")).agg(F.sum("n").alias("n"))
+
+
+@query
+def patch_diff_summary(spark, folder):
+    """Both sides of the agent's variant, which also loses rows without a good price."""
+    staged, cleaned = _staged_and_cleaned(spark, folder, rules=cleaning.AGENT_RULES, variant="keyed")
+    columns = [*cleaning.SALES_COLUMNS, "channel_raw"]
+    return diff.diff_summary(diff.row_diff(staged.select(columns), cleaned.select(columns)))
+
+
+def _gaps(rows):
+    """First and last day of a group's rows, and the longest time without one between."""
+    days = rows["l_shipdate"]
+    gap = days.diff().dt.days.max()
+    return rows[["l_suppkey"]].head(1).assign(first=days.iloc[0], last=days.iloc[-1], gap=0 if gap != gap else int(gap), n_rows=len(rows))
+
+
+def _joined_gaps(parts):
+    between = (parts["first"] - parts["last"].shift()).dt.days.max()
+    gap = max(parts["gap"].max(), 0 if between != between else int(between))
+    return parts[["l_suppkey"]].head(1).assign(first=parts["first"].iloc[0], last=parts["last"].iloc[-1], gap=int(gap), n_rows=int(parts["n_rows"].sum()))
+
+
+@query
+def user_function_by_group(spark, folder):
+    """Longest time without a shipment per supplier, by a function of the caller's; large suppliers in stretches of time."""
+    lines = read_table(spark, folder, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("timestamp").alias("l_shipdate"))
+    schema = "l_suppkey long, first timestamp, last timestamp, gap long, n_rows long"
+    found = grouped.apply_by_group(lines, ["l_suppkey"], "l_shipdate", _gaps, schema, _joined_gaps, most_rows=400)
+    return found.select("l_suppkey", F.col("first").cast("date").alias("first"), F.col("last").cast("date").alias("last"), "gap", "n_rows")
+
+
+@query
+def text_artifact_scan(spark, folder):
+    """Whole documents as plan files, one of them too large to be read, loaded strictly; a broken one fails the load."""
+    path, limit = scratch_path(spark, "artifacts"), 40_000
+    plan = F.concat(F.lit("```json\n"), F.to_json(F.struct(F.array("text").alias("tasks"))), F.lit("\n```"))
+    _documents(spark, folder).select("doc_id", plan.alias("plan")).repartition("doc_id").write.partitionBy("doc_id").text(path)
+    scanned = files.read_text_artifacts(spark, path, limit, "part-*").select(
+        F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("long").alias("doc_id"), "n_bytes", "state",
+        F.lit("reports/plan.json").alias("path"), "content",
+    )
+    loaded = written(scanned, "scanned")
+    readable = loaded.where("state = 'read'")
+    checked = sanitize_strictly(readable.select("doc_id", "path", "content"), keep=["doc_id"])
+    try:
+        sanitize_strictly(loaded.select("path", "content"))  # with the files that have no content
+        refused = False
+    except SchemaError:
+        refused = True
+    tasks = checked.select("doc_id", F.md5(F.get_json_object("clean", "$.tasks[0]").cast("binary")).alias("text_md5"))
+    return loaded.join(tasks, "doc_id", "left").select(
+        "doc_id", (F.col("n_bytes") > limit).alias("large"), "state", "text_md5",
+        (F.lit(refused) == F.lit(loaded.where("state <> 'read'").count() > 0)).alias("strict_as_expected"),
+    )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from clearbrook.plans.catalog import FIRST_DAY, HOLIDAYS, LAST_DAY, SELECTED_DAYS, SPLIT_DAY, SQL_TEMPLATES
+from clearbrook.fixed_values import DECISION_APPROVED
+from clearbrook.plans.catalog import (
+    CORRECTED_DAYS, FIRST_DAY, HOLIDAYS, LAST_DAY, SELECTED_DAYS, SKETCHED, SPLIT_DAY, SQL_TEMPLATES,
+)
 from clearbrook.sources.sales import SALES_VARIANTS
 
 STAGED = """
@@ -582,6 +585,99 @@ FROM lineitem JOIN middles USING (l_suppkey) WHERE l_extendedprice > 1.9 * middl
     }
 
 
+def _stores() -> dict[str, str]:
+    ranged = f"date_parsed BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
+    probabilities = ", ".join(f"(CAST({p} AS DOUBLE))" for p in SKETCHED.values())
+    rules = {
+        "date_missing": "date_parsed IS NULL",
+        "label_off_domain": f"channel_norm IS NULL OR channel_norm NOT IN {DOMAIN}",
+        "price_not_positive": "unit_price IS NULL OR unit_price <= 0",
+        "quantity_not_positive": "quantity IS NULL OR quantity <= 0",
+    }
+    good = " AND ".join(f"NOT ({bad})" for bad in rules.values())
+    counters = {name: f"COUNT(*) FILTER (WHERE {bad})" for name, bad in rules.items()}
+    counters["repeated_rows"] = "COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT order_id, date_parsed FROM stg))"
+    accepted = f"(SELECT COUNT(*) FROM (SELECT DISTINCT order_id, date_parsed FROM stg WHERE {good} AND order_id IS NOT NULL))"
+    observed = " UNION ALL ".join(
+        f"SELECT 'all rows' AS load, COUNT(*) AS n_rows, '{rule}' AS rule, {n} AS violations, FALSE AS published, {accepted} AS rows_read FROM stg "
+        f"UNION ALL SELECT 'good rows', {accepted}, '{rule}', 0, TRUE, {accepted}"
+        for rule, n in counters.items()
+    )
+    touched = f"date_parsed IN ({', '.join(f"DATE '{d}'" for d in CORRECTED_DAYS)})"
+    number = "TRY_CAST(order_id AS BIGINT)"
+    merged = STG_COLUMNS.replace("round(unit_price, 6)", f"round(CASE WHEN {touched} AND {number} % 7 = 0 THEN unit_price + 1 ELSE unit_price END, 6)")
+
+    short = "order_id, date_parsed, quantity, channel_norm"
+    clipped = "CASE WHEN unit_price < 33.8652 THEN 33.8652 WHEN unit_price > 229.2788 THEN 229.2788 ELSE unit_price END"
+    agent = f"""agent AS (SELECT order_id, date_parsed, store_id, product_id, {clipped} AS unit_price, quantity, customer_id,
+      {STRICT_LABEL.replace(", 'instore'", "")} AS channel_norm, channel_raw FROM kept WHERE {clipped} > 0)"""
+    stages = {"stg": b, "gold_simulated": a, "gold_real": a}
+    names = ("n", "dup_est", "n_price_zero_or_null", "n_missing_customer", "n_channel_labels", "n_channel_off_domain", "p01", "p99")
+    report = " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, '{name}' AS metric, round(CAST({side(name)} AS DOUBLE), 6) AS value, 'reference' AS patch, "
+        f"TRUE AS applied, '{DECISION_APPROVED}' AS decision"
+        for stage, side in stages.items() for name in names
+    )
+    return {
+        "percentile_sketch_range": over_sales(
+            f"SELECT store_id, probability, COUNT(unit_price) AS n, TRUE AS within FROM stg, (VALUES {probabilities}) AS p(probability) "
+            f"WHERE {ranged} GROUP BY store_id, probability"
+        ),
+        "distinct_sketch_range": over_sales(
+            f"SELECT store_id, COUNT(DISTINCT date_parsed) AS n_days, COUNT(DISTINCT order_id) AS n_orders, TRUE AS within "
+            f"FROM stg WHERE {ranged} GROUP BY store_id"
+        ),
+        "contract_observed": over_sales(observed),
+        "merge_sales": over_sales(
+            f"SELECT {merged} FROM kept WHERE NOT coalesce({touched} AND {number} % 11 = 0 AND {number} % 7 <> 0, FALSE)", KEPT
+        ),
+        "publish_versions": over_sales(
+            f"SELECT 'first' AS role, {short} FROM agent UNION ALL SELECT 'current', {short} FROM agent "
+            f"UNION ALL SELECT 'second', {short} FROM gold", LEGACY_GOLD, agent, variant="keyed",
+        ),
+        "workflow_report": over_sales(report, *BOTH, closed=True),
+        "workflow_gates": over_sales(
+            " UNION ALL ".join(f"SELECT '{name}' AS gate, {expression} AS passed" for name, expression in GATE_COLUMNS.items()), *BOTH, closed=True,
+        ),
+        "fallback_notice": over_sales(f"""
+SELECT 'never written' AS candidate, FALSE AS chosen, 'missing' AS reason, 'reference' AS effective, {a('n')} AS n_rows
+UNION ALL SELECT 'unknown column', FALSE, 'AnalysisException', 'reference', {a('n')}
+UNION ALL SELECT 'reference', TRUE, NULL, 'reference', {a('n')}""", *BOTH, closed=True),
+        "patch_row_diff": over_sales(
+            "SELECT order_id, date_parsed, kind, changed, COUNT(*) AS n FROM pairs GROUP BY ALL", GOLD, *row_pairs("gold")
+        ),
+        "patch_diff_summary": over_sales(
+            "SELECT kind, changed, COUNT(*) AS n FROM pairs GROUP BY ALL", KEPT, agent, *row_pairs("agent"), variant="keyed"
+        ),
+        "user_function_by_group": """
+WITH steps AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS d,
+    date_diff('day', CAST(LAG(l_shipdate) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS DATE), CAST(l_shipdate AS DATE)) AS step FROM lineitem)
+SELECT l_suppkey, MIN(d) AS "first", MAX(d) AS "last", coalesce(MAX(step), 0) AS gap, COUNT(*) AS n_rows FROM steps GROUP BY l_suppkey""",
+        "text_artifact_scan": """
+SELECT doc_id, large, CASE WHEN large THEN 'too large' ELSE 'read' END AS state, CASE WHEN NOT large THEN md5(text) END AS text_md5,
+  TRUE AS strict_as_expected
+FROM (SELECT doc_id, text, 23 + octet_length(encode(CAST(to_json([text]) AS VARCHAR))) > 40000 AS large FROM documents) AS sized""",
+    }
+
+
+def row_pairs(after: str) -> list[str]:
+    """Copies that one side has more of, and how those of a key pair up in the order of their content."""
+    content = ("store_id", "product_id", "unit_price", "quantity", "customer_id", "channel_raw")
+    columns = ", ".join(("order_id", "date_parsed", *content))
+    copies = f"SELECT {columns}, row_number() OVER (PARTITION BY {columns}) AS copy FROM {{}}"
+    order = ", ".join(f"{c} NULLS FIRST" for c in content)
+    placed = f"SELECT *, row_number() OVER (PARTITION BY order_id, date_parsed ORDER BY {order}) AS place FROM ({{}} EXCEPT {{}})"
+    changed = ", ".join(f"CASE WHEN o.{c} IS DISTINCT FROM w.{c} THEN '{c}' END" for c in content)
+    return [
+        f"old_rows AS ({placed.format(copies.format('stg'), copies.format(after))})",
+        f"new_rows AS ({placed.format(copies.format(after), copies.format('stg'))})",
+        f"""pairs AS (SELECT coalesce(o.order_id, w.order_id) AS order_id, coalesce(o.date_parsed, w.date_parsed) AS date_parsed,
+  CASE WHEN o.place IS NULL THEN 'added' WHEN w.place IS NULL THEN 'removed' ELSE 'changed' END AS kind,
+  CASE WHEN o.place IS NULL OR w.place IS NULL THEN '' ELSE concat_ws(',', {changed}) END AS changed
+  FROM old_rows o FULL JOIN new_rows w ON o.order_id = w.order_id AND o.date_parsed = w.date_parsed AND o.place = w.place)""",
+    ]
+
+
 #: Evidence tables and the queries that show the same rows.
 SAME_ROWS = {
     "evidence_seasonality": "seasonality_selected_days", "evidence_off_domain_labels": "label_off_domain",
@@ -590,5 +686,5 @@ SAME_ROWS = {
 
 
 def oracle_sql() -> dict[str, str]:
-    named = {**_staging(), **_profile(), **_evidence(), **_clean(), **_publish(), **_text(), **_extensions()}
+    named = {**_staging(), **_profile(), **_evidence(), **_clean(), **_publish(), **_text(), **_extensions(), **_stores()}
     return named | {name: named[other] for name, other in SAME_ROWS.items()}

@@ -15,6 +15,7 @@ from clearbrook.operators.profile import baseline_checks, table_metrics
 from clearbrook.operators.publish import ensure_databases, promote, snapshot_csv
 from clearbrook.operators.sandbox import DryRun, Patch, dry_run, first_viable
 from clearbrook.operators.staging import stage_sales
+from clearbrook.plans.reports import append_report
 
 METRICS_SCHEMA = T.StructType(
     [
@@ -89,9 +90,13 @@ def apply_patch(
 
 def run_workflow(
     raw: DataFrame, candidates: Sequence[tuple[str, Patch | None]] = (), target: str = GOLD_TABLE,
-    approve: bool = False, force: bool = False, **options,
+    approve: bool = False, force: bool = False, history: str | None = None, **options,
 ) -> dict:
-    """Stage, measure, try the candidates in order with :func:`clean` last, apply the first that runs."""
+    """Stage, measure, try the candidates in order with :func:`clean` last, apply the first that runs.
+
+    With ``history``, a path, the report is appended to the runs stored there, whatever came of it, and has its
+    ``run_id``.
+    """
     spark = raw.sparkSession
     staged = stage_sales(raw)
     keep = None
@@ -104,9 +109,10 @@ def run_workflow(
     report = apply_patch(
         staged, patch, target, approve=approve, force=force, name=choice.name or "none", run=run, **options
     )
-    return {
+    report = {
         "baseline": baseline_checks(staged).first().asDict(),
         "fallback": choice.records(),
         "fallback_notice": choice.notice(),
         **report,
     }
+    return report | {"run_id": append_report(spark, history, report)} if history else report

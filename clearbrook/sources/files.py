@@ -106,11 +106,29 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> D
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_text_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """One row (path, content) per text file."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")
+#: Bytes of the largest text artifact that is read.
+LARGEST_ARTIFACT = 16 << 20
+
+
+def read_text_artifacts(spark: SparkSession, path: str, largest: int = LARGEST_ARTIFACT, pattern: str | None = None) -> DataFrame:
+    """One row per file at or below ``path``: ``path``, ``n_bytes``, ``modified``, ``content`` and ``state``.
+
+    A file is one value, so files of more than ``largest`` bytes are listed but
+    not opened (``state`` is ``too large``); those that are not UTF-8 are
+    ``unreadable``.  Neither has content, and nothing of a file is read in
+    part.  ``pattern`` is a glob for file names.  Files without a byte are not
+    listed; that is how the reader has it.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
+    text = F.col("content").cast("string")
+    about = ["path", F.col("length").alias("n_bytes"), F.col("modificationTime").alias("modified")]
+    # The condition on the length reaches the reader, which then leaves the bytes of larger files alone.
+    read = files.where(F.col("length") <= largest).select(
+        *about, F.when(F.is_valid_utf8(text), text).alias("content"), F.when(F.is_valid_utf8(text), "read").otherwise("unreadable").alias("state")
     )
+    listed = files.where(F.col("length") > largest).select(*about, F.lit(None).cast("string").alias("content"), F.lit("too large").alias("state"))
+    return read.unionByName(listed)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
