@@ -6,7 +6,7 @@ Null texts count as empty. An empty table goes through all stages and gives no p
 
 from __future__ import annotations
 
-from clearbrook.llm import decontaminate, packing, quality, repeats, simhash
+from clearbrook.llm import decontaminate, nearcopies, packing, quality, repeats
 from clearbrook.llm.common import keep, read, ship
 
 
@@ -23,9 +23,10 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """Of documents linked by their fingerprints, directly or over others, the one with the smallest id stays."""
+    """Of documents whose five-word shingles are similar by 0.8 or more, directly or over others, the one with the smallest
+    id stays; rows without an id only where their whole group has none, and of rows equal in id and text one."""
     ship(spark)
-    return simhash.keep_one(docs)
+    return nearcopies.keep_one(docs)
 
 
 def decontamination(spark, docs, sf_dir):
