@@ -181,15 +181,24 @@ def format_chats(turns: DataFrame, conversation: str, order: str) -> DataFrame:
 
 
 def read_back(formatted: DataFrame, conversation: str) -> DataFrame:
-    """What the formatted texts say: their turns, and the text under the loss mask."""
+    """What the formatted texts say: their turns, and the text under the loss mask.
+
+    A span under the mask counts only where it begins and ends exactly where a text of the output does; the places are
+    those of the output's own pieces, so a shifted span loses its text.
+    """
     pieces = F.split("formatted", r"<\|im_end\|>\n", -1)
     turns = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda p: F.struct(
         unescape(F.substring(F.substring_index(p, "\n", 1), F.lit(len(OPEN) + 1), F.length(p))).alias("role"),
         F.substring(p, F.length(F.substring_index(p, "\n", 1)) + 2, F.length(p)).alias("text"),
     ))
-    parsed = formatted.select(conversation, "formatted", "spans", turns.alias("turns"))
+    whole = F.slice(pieces, 1, F.size(pieces) - 1)
+    ends = F.transform(whole, lambda p: (F.length(p) + len(CLOSE) + 1).cast("long"))
+    parsed = formatted.select(conversation, "formatted", "spans", turns.alias("turns"), whole.alias("pieces"), running_sums(ends).alias("begins"))
+    texts = F.zip_with("turns", F.zip_with("pieces", "begins", lambda p, b: b + F.length(p)), lambda t, stop: F.struct(
+        t["text"].alias("text"), (stop - F.length(t["text"])).alias("start"), stop.alias("stop")
+    ))
     masked = F.filter(
-        F.zip_with("turns", "spans", lambda t, s: F.when(s["loss"] & (s["stop"] - s["start"] == F.length(t["text"])), unescape(t["text"]))),
+        F.zip_with(texts, "spans", lambda t, s: F.when(s["loss"] & (s["start"] == t["start"]) & (s["stop"] == t["stop"]), unescape(t["text"]))),
         lambda x: x.isNotNull(),
     )
     parsed = parsed.select(conversation, "formatted", "turns", F.array_join(masked, "").alias("loss"))

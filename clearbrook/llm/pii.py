@@ -34,11 +34,11 @@ _WORD = r"(?:(?i:number|no|nr|id)(?:[\x20\t]|(?=[+0-9]))|(?i:no|nr)\.(?:[\x20\t:
 ANNOUNCE = rf"(?:[\x20\t]*+[:=]|[\x20\t]++{_WORD})"
 LABELLED = (
     r"(?<![\p{L}_])(?:\p{L}++[\x20\t]++)?[\p{L}_]++" + ANNOUNCE + rf"[\x20\t]*+[\"'(]?+(?!(?:\p{{L}}++[\x20\t]++)?{_WORD})"
-    + r"([A-Za-z0-9+](?:[^\s\"',;()]{0,62}[A-Za-z0-9])?)"
+    + r"([A-Za-z0-9+](?:[^\s\"',;()]*[A-Za-z0-9])?)"
 )
 
-#: Turns of scoring, known values that a pattern needs, and from which score on patterns and values count.
-ROUNDS, SUPPORT, PATTERN_SCORE, VALUE_SCORE = 3, 3.0, 0.6, 0.5
+#: Known values that a pattern needs, and from which score on patterns and values count.
+SUPPORT, PATTERN_SCORE, VALUE_SCORE = 3.0, 0.6, 0.5
 
 
 def _digits(value: Column) -> Column:
@@ -112,7 +112,8 @@ def score_patterns(labels: DataFrame) -> DataFrame:
     """(pattern, kind, score) of the patterns that are good enough.
 
     ``labels`` has pattern, value, seed_kind (null where the value is unknown) and seed_value. Edges are counted once
-    per pattern and value, so a text that a third of the rows share weighs as much as any other.
+    per pattern and value, so a text that a third of the rows share weighs as much as any other. Scores of either side only
+    grow from turn to turn; turns go on until patterns and their scores, to six digits, stay as they are.
     """
     edges = keep(
         labels.groupBy("pattern", F.lower(F.coalesce("seed_value", "value")).alias("instance"))
@@ -122,8 +123,8 @@ def score_patterns(labels: DataFrame) -> DataFrame:
     values = keep(
         edges.groupBy("instance").agg(F.when(F.max("kind").isNotNull(), 1.0).otherwise(0.0).alias("score")), "values"
     )
-    scored = None
-    for _ in range(ROUNDS):
+    scored = mark = None
+    while True:
         support = edges.join(values, "instance").groupBy("pattern").agg(
             F.sum("score").alias("known"), F.count("*").alias("all"),
             *[F.count_if(F.col("kind") == k).alias(k) for k in KINDS],
@@ -137,6 +138,10 @@ def score_patterns(labels: DataFrame) -> DataFrame:
         if scored is not None:
             discard(scored)
         scored = better
+        now = tuple(scored.agg(F.count("*"), F.sum(F.xxhash64("pattern", "kind", F.round("score", 6)).cast("decimal(38,0)"))).first())
+        if now == mark:
+            break
+        mark = now
         # Noisy or: a value is unknown only if every pattern that leads to it is wrong.
         miss = F.log1p(-F.least(F.col("score"), F.lit(0.99)))
         reached = edges.where("alike").join(scored.select("pattern", "score"), "pattern").groupBy("instance").agg((1 - F.exp(F.sum(miss))).alias("reached"))

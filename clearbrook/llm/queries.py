@@ -51,7 +51,8 @@ def op7_token_counts(spark, folder):
 
 def op8_quality_rules(spark, folder):
     ship(spark)
-    return quality.quality_report(read(spark, folder, "documents"))
+    docs = read(spark, folder, "documents")
+    return quality.quality_report(docs, quality.fit_bands(docs, read(spark, folder, "labels")))
 
 
 def op9_packing(spark, folder):

@@ -33,14 +33,14 @@ BASE = (
 )
 #: Further kinds: formats that issuers document, each with a fixed beginning.
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abeprs]-[A-Za-z0-9-]{10,}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("bearer", r"Bearer [A-Za-z0-9._~+/-]{24,}"),
-    Rule("url_login", r"(?:https?|ftp|mysql|redis|amqps?|postgres|postgresql|mongodb)://[^\s:@/]{1,128}:[^\s:@/]{1,128}@"),
+    Rule("url_login", r"(?:https?|ftp|mysql|redis|amqps?|postgres|postgresql|mongodb)://[^\s:@/]+:[^\s:@/]+@"),
 )
 RULES = BASE + MORE
 
