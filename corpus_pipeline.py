@@ -11,9 +11,9 @@ from clearbrook.llm.common import keep, read, ship
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go; their bands follow the labelled documents. Rows are judged one by one."""
     ship(spark)
-    return quality.keep_quality(docs)
+    return quality.keep_quality(docs, quality.fit_bands(docs, read(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark, docs, sf_dir):
