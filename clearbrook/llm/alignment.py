@@ -44,6 +44,7 @@ _REMEMBERED, _LONGEST = 500_000, 64
 #: A space between characters that both tokenizers, and all versions of the Unicode tables, take for no white space.
 _PLAIN = "[!-~\u00c0-\u024f]"
 _BETWEEN = re.compile(f"(?<={_PLAIN})(?= {_PLAIN})")
+_ENDS = re.compile(rf"{_PLAIN}(?:.*{_PLAIN})?\Z", re.DOTALL)
 
 
 def _byte_of() -> dict[str, int]:
@@ -119,28 +120,35 @@ def tokens_of(texts: list[str], first: str = FIRST, second: str = SECOND) -> lis
     return found
 
 
-def aligned(left: list[int], right: list[int], first: str = FIRST, second: str = SECOND) -> tuple[list[str], list[int]]:
-    """The groups as texts, and the linked ids of both sides as one number for each link."""
+def aligned(left: list[int], right: list[int], first: str = FIRST, second: str = SECOND, words: list[int] | None = None) -> list[tuple]:
+    """For each word (tokens of the first side, tokens of the second, groups, groups as text, links).
+
+    ``words`` are the places after the words' last bytes; without it all is one word. A word that does not end where
+    tokens of both sides do is one with those after it. A link is both ids as one number.
+    """
     sizes_a, sizes_b = _sizes(first), _sizes(second)
     ends_a, ends_b = list(accumulate(map(sizes_a.__getitem__, left))), list(accumulate(map(sizes_b.__getitem__, right)))
     at_a, at_b = dict(zip(ends_a, count(1))), dict(zip(ends_b, count(1)))
-    groups, links, i, j = [], [], 0, 0
+    closing = set(words or ends_a[-1:])
+    found, groups, links, i, j, begin_a, begin_b = [], [], [], 0, 0, 0, 0
     for end in sorted(at_a.keys() & at_b.keys()):
         k, m = at_a[end], at_b[end]
         if k - i == 1 == m - j:
             groups.append(f"{left[i]}|{right[j]}")
             links.append(left[i] * _IDS + right[j])
-            i, j = k, m
-            continue
-        groups.append(f"{','.join(map(str, left[i:k]))}|{','.join(map(str, right[j:m]))}")
-        x, y = i, j
-        while x < k and y < m:  # no token is empty, so two of a group overlap until one of them has ended
-            links.append(left[x] * _IDS + right[y])
-            end_a, end_b = ends_a[x], ends_b[y]
-            x += end_a <= end_b
-            y += end_b <= end_a
+        else:
+            groups.append(f"{','.join(map(str, left[i:k]))}|{','.join(map(str, right[j:m]))}")
+            x, y = i, j
+            while x < k and y < m:  # no token is empty, so two of a group overlap until one of them has ended
+                links.append(left[x] * _IDS + right[y])
+                end_a, end_b = ends_a[x], ends_b[y]
+                x += end_a <= end_b
+                y += end_b <= end_a
         i, j = k, m
-    return groups, links
+        if end in closing:
+            found.append((k - begin_a, m - begin_b, len(groups), ";".join(groups), links))
+            groups, links, begin_a, begin_b = [], [], k, m
+    return found
 
 
 class Words(dict):
@@ -152,14 +160,23 @@ class Words(dict):
         #: Whether the second side never joins a word to the one before it.
         self.apart = isinstance(_side(first), ByteLevel) and isinstance(side, Pieces) and not side.across
 
+    def _one_by_one(self, words: list[str]) -> dict[str, tuple | None]:
+        return {w: aligned(*sides, *self.names)[0] if sides else None for w, sides in zip(words, tokens_of(words, *self.names))}
+
     def _learned(self, words: list[str]) -> dict[str, tuple | None]:
-        """What words come to that are not known yet, which are then, but for very long ones."""
+        """What words come to that are not known yet, which are then, but for very long ones.
+
+        Words with plain ends are taken as one text with single spaces, which costs less than each by itself.
+        """
+        plain = [w for w in words if _ENDS.match(w)] if self.apart else []
         made = {}
-        for word, sides in zip(words, tokens_of(words, *self.names)):
-            made[word] = None
-            if sides:
-                groups, links = aligned(*sides, *self.names)
-                made[word] = len(sides[0]), len(sides[1]), len(groups), ";".join(groups), links
+        if len(plain) > 1:
+            sides = tokens_of([" ".join(plain)], *self.names)[0]
+            ends = list(accumulate(len(w.encode("utf-8", "replace")) + 1 for w in plain))
+            parts = aligned(*sides, *self.names, ends) if sides else []
+            if len(parts) == len(plain):
+                made = dict(zip(plain, parts))
+        made |= self._one_by_one([w for w in words if w not in made])
         self.update((w, m) for w, m in made.items() if len(w) <= _LONGEST)
         return made
 

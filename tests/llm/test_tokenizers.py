@@ -62,11 +62,11 @@ def test_one_text(text):
     sides = alignment.tokens_of([text])[0] if text else None
     assert (sides is None) == (groups is None)
     if sides:
-        found, pairs = alignment.aligned(*sides)
-        assert (len(sides[0]), len(sides[1])) == (n_a, n_b) and len(found) == len(groups)
+        ((*sizes, text_of_groups, pairs),) = alignment.aligned(*sides)
+        assert sizes == [n_a, n_b, len(groups)]
         assert sorted((p // alignment._IDS, p % alignment._IDS) for p in pairs) == sorted(links)
         if n_a < 400:
-            assert found == ["|".join(",".join(map(str, side)) for side in group) for group in groups]
+            assert text_of_groups == ";".join("|".join(",".join(map(str, side)) for side in group) for group in groups)
     assert alignment.words_of(alignment.FIRST, alignment.SECOND).text(text)[:4] == (n_a, n_b, len(groups or []), len(links))
 
 
@@ -75,8 +75,8 @@ def _whole(text):
     sides = alignment.tokens_of([text])[0] if text else None
     if not sides:
         return 0, 0, 0, 0, "", []
-    groups, links = alignment.aligned(*sides)
-    return len(sides[0]), len(sides[1]), len(groups), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest(), links
+    ((n_a, n_b, n_groups, groups, links),) = alignment.aligned(*sides)
+    return n_a, n_b, n_groups, len(links), hashlib.sha256(groups.encode()).hexdigest(), links
 
 
 WORDS = ["the", "it's", "'t", "naïve", "x", "3.14", "2024-01-09", "a_b", "<|endoftext|>", "</s>", "▁", "漢字", "😀", "\n", "\t", "\x1c", "\x85", "\xa0", "\u3000",
