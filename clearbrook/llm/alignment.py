@@ -43,7 +43,7 @@ _NO_TEXT = b"\xff"
 _REMEMBERED, _LONGEST = 500_000, 64
 #: A space between characters that both tokenizers, and all versions of the Unicode tables, take for no white space.
 _PLAIN = "[!-~\u00c0-\u024f]"
-_BETWEEN = re.compile(f"(?<={_PLAIN})(?= {_PLAIN})")
+_BETWEEN = re.compile(f"(?<={_PLAIN}) (?={_PLAIN})")
 _ENDS = re.compile(rf"{_PLAIN}(?:.*{_PLAIN})?\Z", re.DOTALL)
 
 
@@ -182,11 +182,14 @@ class Words(dict):
 
     def text(self, text: str) -> tuple[int, int, int, int, str, np.ndarray]:
         """Tokens of both sides, groups, links, the groups' digest, and the linked ids."""
-        words = [w[1:] for w in _BETWEEN.split(f" {text}")] if self.apart else [text]
+        words = _BETWEEN.split(text) if self.apart else [text]
         if len(self) + len(words) > _REMEMBERED:
             self.clear()
         new = self._learned([w for w in dict.fromkeys(words) if w not in self]) if text else {}
-        parts = [self[w] if w in self else new[w] for w in words] if text else [None]
+        try:
+            parts = list(map(self.__getitem__, words)) if text else [None]
+        except KeyError:  # a very long word
+            parts = [new[w] if w in new else self[w] for w in words]
         if None in parts:
             return 0, 0, 0, 0, "", np.empty(0, np.int64)
         n_a, n_b, n_groups, groups, links = zip(*parts)
