@@ -6,15 +6,16 @@ segment of the fingerprint differs in at most one bit. Every segment is indexed
 join finds fingerprints with a signature in common, and candidates are compared by their five-word shingles.
 
 Members of a signature are not paired with each other. All are compared with one of them; those that are not similar to
-it go on among themselves, with the next, until no signature has two left. A signature that a third of all
-fingerprints share costs one comparison for each of them as long as they are similar.
+it go on among themselves, with the next four, then sixteen and so on, until no signature has two left. A signature that
+a third of all fingerprints share costs one comparison for each of them as long as they are similar, and one whose
+members are not takes rounds in proportion to the logarithm of their number.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,8 @@ SEGMENTS, SEGMENT = 14, 30
 BITS = SEGMENTS * SEGMENT
 _FACTOR = 0x9E3779B97F4A7C15
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+#: Members of a signature that the others are compared with in a round: so many times as many as in the one before, and at most.
+GROWTH, CENTRES = 4, 1024
 #: Shingles whose bits are counted at a time.
 _BLOCK = 1 << 13
 
@@ -90,7 +93,16 @@ def _shared(rows: DataFrame) -> DataFrame:
     """Rows of keys that several have, with the smallest of them as ``p``. One shuffle, read twice."""
     dealt = rows.repartition("key")
     centres = dealt.groupBy("key").agg(F.min("u").alias("p"), F.count("*").alias("n")).where("n > 1").select("key", "p")
-    return dealt.join(centres, "key").where("u <> p")
+    return dealt.join(centres, "key").where("u <> p").withColumn("centre", F.lit(False))
+
+
+def _paired(rows: DataFrame, centres: int) -> DataFrame:
+    """Rows with each of the ``centres`` smallest of their key as ``p``, smaller ones only; and whether they are one."""
+    place = F.row_number().over(Window.partitionBy("key").orderBy("u"))
+    first = rows.withColumn("place", place).where(F.col("place") <= centres)
+    chosen = first.groupBy("key").agg(F.collect_list("u").alias("chosen")).where(F.size("chosen") > 1)
+    met = rows.join(chosen, "key").withColumn("centre", F.col("u") <= F.array_max("chosen"))
+    return met.select("key", "u", F.explode(F.filter("chosen", lambda p: p < F.col("u"))).alias("p"), "centre")
 
 
 def largest_distance(similarity: float) -> int:
@@ -134,13 +146,14 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, s
 
 def links(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (u, v) of fingerprints of similar documents, enough to connect those that signatures bring together."""
-    rest = keep(_shared(signatures(nodes)), "signatures")
-    found = None
+    rest, found, centres = keep(_shared(signatures(nodes)), "signatures"), None, 1
     while not rest.isEmpty():
         verified = similar(rest.select("u", "p").distinct(), nodes, docs, shingle, similarity)
         found = verified if found is None else found.unionByName(verified)
-        others = rest.join(verified, ["u", "p"], "left_anti").select("key", "u")
-        before, rest = rest, keep(_shared(others), "signatures")
+        hits = rest.join(verified.withColumn("hit", F.lit(True)), ["u", "p"], "left")
+        others = hits.groupBy("key", "u").agg(F.max(F.coalesce("hit", F.lit(False)) | F.col("centre")).alias("done")).where("NOT done")
+        centres = min(GROWTH * centres, CENTRES)
+        before, rest = rest, keep(_paired(others.select("key", "u"), centres), "signatures")
         discard(before)
     if found is None:
         return rest.select("u", F.col("p").alias("v"))
