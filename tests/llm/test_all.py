@@ -28,6 +28,7 @@ def test_empty_table(name, spark):
 
 def test_stages_keep_columns_and_stand_edge_rows(spark, tmp_path):
     documents(spark).selectExpr("doc_id as item_id", "text").where("item_id = 1").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for rows in (ROWS, []):
         docs = documents(spark, ROWS).where("true" if rows else "false")
         for name, stage in corpus_pipeline.STAGES[:-1]:
