@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbrook.operators.joins import null_safe_join
@@ -15,6 +16,11 @@ MOST_ROWS = 1_000_000
 #: Stretches of a group at most; beyond that they grow with the group.
 STRETCHES = 1000
 
+#: Rows of results that are handed back together.
+_BATCH = 10_000
+#: Kinds without a null of their own, and what pandas takes for a column of them that has one.
+_PLAIN = {"tinyint": "float64", "smallint": "float64", "int": "float64", "bigint": "float64", "boolean": "object"}
+
 Frame = Callable[[pd.DataFrame], pd.DataFrame]
 
 
@@ -49,6 +55,65 @@ def split_groups(df: DataFrame, by: Sequence[str], order: str, most_rows: int =
     return cut.withColumn("part", F.when(whole, 0).otherwise(part)).drop("__position", "bounds")
 
 
+def _runs(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows between one ``__place`` of 1 and the next, each run as one frame without that column."""
+    pieces: list[pd.DataFrame] = []
+    for frame in frames:
+        starts = np.flatnonzero(frame["__place"].to_numpy() == 1).tolist()
+        rows = frame.drop(columns="__place")
+        edges = [0, *starts, len(rows)]
+        for at, (low, high) in enumerate(zip(edges, edges[1:])):
+            if at and pieces:
+                yield pieces[0] if len(pieces) == 1 else pd.concat(pieces, ignore_index=True)
+                pieces = []
+            if high > low:
+                pieces.append(rows.iloc[low:high].reset_index(drop=True))
+    if pieces:
+        yield pieces[0] if len(pieces) == 1 else pd.concat(pieces, ignore_index=True)
+
+
+def _each_group(df: DataFrame, columns: Sequence[str], order: str, function: Frame, schema: str) -> DataFrame:
+    """``function`` over the rows of each group, sorted by ``order`` with missing values last.
+
+    Groups follow each other within a task, so that small ones share their batches and results.  Tasks are as many as
+    the session's shuffle partitions: results are few bytes, and would otherwise be joined into one task that calls the
+    function for all groups.
+    """
+    place = F.row_number().over(Window.partitionBy(*columns).orderBy(F.col(order).asc_nulls_last()))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(tasks, *columns).withColumn("__place", place).sortWithinPartitions(*columns, "__place")
+    # A batch with a null has a column of floats or objects, also for groups without one: nulls travel in columns of their own.
+    plain = {c: _PLAIN[t] for c, t in df.dtypes if t in _PLAIN}
+    marks = {f"__null_{c}": F.col(c).isNull() for c in plain}
+    zeros = {c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in plain}
+    placed = placed.withColumns(marks).withColumns(zeros)
+
+    def restored(rows: pd.DataFrame) -> pd.DataFrame:
+        missing = {c: rows[f"__null_{c}"].to_numpy() for c in plain}
+        rows = rows.drop(columns=[f"__null_{c}" for c in plain])
+        for c, mask in missing.items():
+            if mask.any():
+                values = rows[c].to_numpy().astype(plain[c])
+                values[mask] = None
+                rows[c] = values
+        return rows
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        results: list[pd.DataFrame] = []
+        size = 0
+        for rows in _runs(frames):
+            found = function(restored(rows))
+            if results and (size > _BATCH or not found.dtypes.equals(results[0].dtypes)):
+                yield pd.concat(results, ignore_index=True)
+                results, size = [], 0
+            results.append(found)
+            size += len(found)
+        if results:
+            yield pd.concat(results, ignore_index=True)
+
+    return placed.mapInPandas(run, schema)
+
+
 def apply_by_group(
     df: DataFrame, by: Sequence[str], order: str, function: Frame, schema: str, merge: Frame | None = None,
     merged_schema: str | None = None, most_rows: int = MOST_ROWS,
@@ -68,12 +133,12 @@ def apply_by_group(
     """
     columns = list(by)
     if merge is None:
-        return df.groupBy(*columns).applyInPandas(lambda rows: function(rows.sort_values(order, kind="stable")), schema)
+        return _each_group(df, columns, order, function, schema)
     split = split_groups(df, columns, order, most_rows)
 
     def stretch(rows: pd.DataFrame) -> pd.DataFrame:
         part = rows["part"].iloc[0]
-        return function(rows.drop(columns="part").sort_values(order, kind="stable")).assign(part=part)
+        return function(rows.drop(columns="part")).assign(part=part)
 
-    partial = split.groupBy(*columns, "part").applyInPandas(stretch, f"{schema}, part int")
-    return partial.groupBy(*columns).applyInPandas(lambda rows: merge(rows.sort_values("part")), merged_schema or schema)
+    partial = _each_group(split, [*columns, "part"], order, stretch, f"{schema}, part int")
+    return _each_group(partial, columns, "part", merge, merged_schema or schema)

@@ -274,6 +274,25 @@ def test_hot_groups_are_split_and_merged(spark):
     assert alone == {g: r["total"] for g, r in found.items()}
 
 
+def test_small_groups_share_batches_and_keep_their_kinds(spark):
+    rows = [(g, k, (1 << 60) + g if g % 2 or k else None, None if g % 3 == 0 and k else k % 2 == 0) for g in range(60) for k in range(9)]
+    frame = spark.createDataFrame(rows, "g long, t int, v long, even boolean").repartition(3)
+
+    def piece(part: pd.DataFrame) -> pd.DataFrame:
+        kinds = f"{part.dtypes.to_dict()} {part['even'].tolist()} {type(part['even'].iloc[-1])}"
+        return part[["g"]].head(1).assign(kinds=kinds, last=part["v"].iloc[-1], n=len(part), ordered=bool(part["t"].is_monotonic_increasing))
+
+    def whole(parts: pd.DataFrame) -> pd.DataFrame:
+        return parts.drop(columns="part").tail(1).assign(n=int(parts["n"].sum()))
+
+    schema = "g long, kinds string, last long, n long, ordered boolean"
+    found = grouped.apply_by_group(frame, ["g"], "t", piece, schema, whole).withColumn("task", F.spark_partition_id()).collect()
+    known = frame.groupBy("g").applyInPandas(lambda part: piece(part.sort_values("t", kind="stable")), schema).collect()
+    assert sorted(r[:5] for r in found) == sorted(tuple(r) for r in known)
+    assert all(r["last"] == (1 << 60) + r["g"] for r in found if r["g"] % 2) and len(found) == 60
+    assert len({r["task"] for r in found}) > 1  # results of all groups were merged in one task
+
+
 # --- text files -----------------------------------------------------------------------
 
 
