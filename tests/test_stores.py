@@ -9,10 +9,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from clearbrook.operators import diff, grouped, merge, sketches
+from clearbrook.operators import diff, grouped, joins, merge, sketches
 from clearbrook.operators.contracts import ContractViolation
 from clearbrook.operators.observed import enforce_load, observed_load
-from clearbrook.plans import reports
+from clearbrook.plans import catalog, reports
 from clearbrook.sources.files import read_text_artifacts
 from clearbrook.sources.versions import Conflict, VersionedTable
 
@@ -293,6 +293,21 @@ def test_small_groups_share_batches_and_keep_their_kinds(spark):
     assert len({r["task"] for r in found}) > 1  # results of all groups were merged in one task
 
 
+def test_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    frame = spark.range(1000).selectExpr("if(id % 9 = 0, null, id) AS a", "id % 7 AS b")
+    spread = joins.dealt(frame, ["a", "b"], rows=100)
+    assert spread.rdd.getNumPartitions() == 10 and spread.exceptAll(frame).isEmpty() and spread.count() == 1000
+    assert joins.dealt(frame.where("b > 9"), ["a"]).rdd.getNumPartitions() == 1
+    # The share of a task in the gates over two keys does not grow with the table.
+    monkeypatch.setattr(joins.dealt, "__defaults__", (100,))
+    lines = spark.range(1000).selectExpr("id % 50 AS l_orderkey", "id AS l_linenumber", "date'2025-07-01' AS l_shipdate", "1.5D AS l_extendedprice")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = catalog.queries()["gates_lineitem_row_loss"](spark, str(tmp_path))
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in text and ", 10" in text
+    assert {r["second_key"]: r["drop_ratio"] for r in found.collect()} == {"l_shipdate": 0.95, "l_linenumber": 0.0}
+
+
 # --- text files -----------------------------------------------------------------------
 
 
