@@ -6,12 +6,13 @@ depends on the number of bytes, as short texts give the compressor little to fin
 a text that is prose for one half and noise for the other.
 
 How well good text compresses depends on its languages. Where labels tell good texts, the bands of whole texts are fitted to
-a bounded sample of these, class by class of length; classes with few labels, and chunks, have wide bands for any prose.
+all of these but a fold, class by class of length; classes with few labels, and chunks, have wide bands for any prose.
 """
 
 from __future__ import annotations
 
 import bisect
+from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clearbrook.llm.common import ID, TEXT, texts
+from clearbrook.llm.common import ID, TEXT, discard, keep, texts
+from clearbrook.operators.quantiles import exact_quantiles
 
 #: Level of the compressor; ratios, and so the bands, hold for this one.
 LEVEL = 3
@@ -30,8 +32,8 @@ BANDS = ((256, 0.22, 0.90), (1024, 0.20, 0.80), (4096, 0.17, 0.75), (16384, 0.14
 CHUNK, CHUNK_BAND, SHORT_CHUNK = 4096, (0.17, 0.78), 1024
 #: A text is rejected when more than this share of its chunks lies outside their band.
 CHUNK_SHARE = 1 / 3
-#: Labelled texts that bands are fitted to at most, and good texts of a length class that it takes at least.
-FIT_ROWS, FIT_LEAST = 5000, 20
+#: Good texts of a length class that its band takes at least, and the least bytes of each class, half powers of two.
+FIT_LEAST, EDGES = 20, [int(2 ** (k / 2)) for k in range(16, 41)]
 #: Share of good texts that a fitted band leaves out on either side, and its margin beyond them.
 FIT_SHARE, FIT_MARGIN = 0.002, 0.003
 #: Every so many texts are held out of the fit, by the checksum of their id.
@@ -116,6 +118,10 @@ def compression(raw: bytes, compressor: zstandard.ZstdCompressor, bands: tuple =
     return ratio, chunks, low, high, ""
 
 
+def base_fails(words: list[bytes]) -> bool:
+    return len(words) < MIN_WORDS or 100 * repeated_words(words) > REPEAT_PERCENT * len(words)
+
+
 def measure(text: str | None, compressor: zstandard.ZstdCompressor, bands: tuple = BANDS) -> tuple:
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
@@ -140,43 +146,49 @@ _COLUMNS = (
 )
 
 
-def bands_of_good(sizes: np.ndarray, ratios: np.ndarray) -> tuple:
-    """Bands by length class, half powers of two, from good texts' bytes and ratios; wide ones for classes with few."""
-    edges = [int(2 ** (k / 2)) for k in range(16, 41)]
+def band_class(size: int) -> int:
+    """The length class of a fitted band, -1 for texts that are too short for one."""
+    return bisect.bisect_right(EDGES, size) - 1
+
+
+def bands_of_good(fitted: Mapping[int, tuple[int, float, float]]) -> tuple:
+    """Bands by length class from good texts' number and outer quantiles; wide ones for classes with few."""
     bands = []
-    for low, high in zip(edges, [*edges[1:], np.inf]):
-        inside = ratios[(sizes >= low) & (sizes < high)]
+    for at, low in enumerate(EDGES):
         band = band_of(low)
-        if len(inside) >= FIT_LEAST:
-            least, most = np.quantile(inside, [FIT_SHARE, 1 - FIT_SHARE])
+        count, least, most = fitted.get(at, (0, None, None))
+        if count >= FIT_LEAST:
             band = max(band[0], least - FIT_MARGIN), max(band[1], most + FIT_MARGIN)
         bands.append((low, float(band[0]), float(band[1])))
     return tuple(bands)
 
 
-def fit_bands(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int = FIT_ROWS) -> tuple:
-    """Bands from at most ``size`` documents labelled good: those with the smallest hashes of their ids, but for a fold.
+def fit_bands(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple:
+    """Bands from all documents labelled good, but for a fold of ids.
 
-    Ids are chosen first and sent to the texts; two numbers for each document reach the driver. An id with more than
-    one label is good if all are. Without labels the bands are the wide ones.
+    Each class of length is one row for the driver: its number of texts and the
+    two quantiles, exact. An id with more than one label is good if all are. Without labels the bands are the wide ones.
     """
     good = labels.where(labels[label].isNotNull() & labels[ID].isNotNull()).groupBy(labels[ID].alias("id")).agg(F.min(labels[label]).alias("good"))
-    good = good.where((F.col("good") == 1) & (F.crc32(F.col("id").cast("string").cast("binary")) % FOLDS != 0))
-    chosen = good.select("id", F.xxhash64("id").alias("at")).orderBy("at", "id").limit(size)
+    chosen = good.where((F.col("good") == 1) & (F.crc32(F.col("id").cast("string").cast("binary")) % FOLDS != 0)).select("id")
     source = texts(docs)
-    rows = source.join(F.broadcast(chosen), source[ID] == chosen["id"]).select("at", TEXT)
 
     def run(batches):
         compressor = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
-            found = [measure(t.as_py(), compressor) + (len((t.as_py() or "").encode("utf-8", "surrogatepass")),) for t in batch.column(1)]
-            usable = [not f[5] and f[8] is not None for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[-1] for f in found], pa.int64()), pa.array([f[8] for f in found], pa.float64())], names=["at", "size", "ratio"]
-            ).filter(pa.array(usable, pa.bool_()))
-
-    found = rows.mapInArrow(run, "at bigint, size bigint, ratio double").orderBy("at", "size", "ratio").limit(size).collect()
-    return bands_of_good(np.array([r["size"] for r in found]), np.array([r["ratio"] for r in found])) if found else BANDS
+            raws = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column(1)]
+            classes = [-1 if base_fails(raw.split()) else band_class(len(raw)) for raw in raws]
+            ratios = [len(compressor.compress(raw)) / len(raw) if at >= 0 else None for raw, at in zip(raws, classes)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes, pa.int32()), pa.array(ratios, pa.float64())], names=[ID, "class", "ratio"])
+
+    # All texts are measured, as two numbers are sent to the labels and not the texts.
+    schema = T.StructType([source.schema[ID], T.StructField("class", T.IntegerType()), T.StructField("ratio", T.DoubleType())])
+    measured = source.mapInArrow(run, schema).where("class >= 0")
+    measured = keep(measured.join(chosen, measured[ID] == chosen["id"], "left_semi").select("class", "ratio"), "ratios")
+    found = exact_quantiles(measured, "ratio", {"least": FIT_SHARE, "most": 1 - FIT_SHARE}, ["class"], count_as="n")
+    fitted = {r["class"]: (r["n"], r["least"], r["most"]) for r in found.collect()}
+    discard(measured)
+    return bands_of_good(fitted) if fitted else BANDS
 
 
 def quality_report(docs: DataFrame, bands: tuple = BANDS) -> DataFrame:

@@ -1,8 +1,12 @@
 """That the methods decide something: fitted bands, converging scores, whole values, spans of the output."""
 
 import collections
+import random
+import zlib
 
+import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from clearbrook.llm import chat, pii, quality, secretscan
@@ -38,6 +42,20 @@ def test_bands_without_labels_are_the_wide_ones(spark):
     assert all(quality.band_of(size, few) == quality.band_of(size) for size in (10, 300, 1100, 5000, 1 << 20))
 
 
+def test_bands_come_from_every_good_document(spark):
+    """More documents than any sample: the outer quantiles are those of all, but for the fold."""
+    pick = random.Random(3)
+    texts = [" ".join(f"{pick.randrange(10 ** pick.randrange(1, 9)):x}" for _ in range(60))[:300].ljust(300, "x") for _ in range(7000)]
+    bands = quality.fit_bands(documents(spark, list(enumerate(texts))), spark.range(7000).selectExpr("id AS doc_id", "1 AS quality"))
+    compressor = zstandard.ZstdCompressor(level=quality.LEVEL)
+    ratios = [len(compressor.compress(t.encode())) / 300 for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % quality.FOLDS ]
+    assert len(ratios) > 5000
+    least, most = np.quantile(ratios, [quality.FIT_SHARE, 1 - quality.FIT_SHARE])
+    wide = quality.band_of(300)
+    expected = max(wide[0], least - quality.FIT_MARGIN), max(wide[1], most + quality.FIT_MARGIN)
+    assert quality.band_of(300, bands) == pytest.approx(expected) and expected != wide
+
+
 # --- personal data ------------------------------------------------------------------
 
 
