@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ KEPT = 0.4
 FOLDS = 5
 #: Words remembered by a worker; beyond that it forgets them all and begins anew.
 REMEMBERED = 300_000
+#: Texts scored together, whose new words are looked up at once.
+TOGETHER = 64
 
 _WORD = re.compile(r"\w+|[^\w\s]+")
 
@@ -53,6 +56,57 @@ def subwords(word: str) -> list[int]:
     return sorted(zlib.crc32(g.encode("utf-8", "surrogatepass")) % ROWS for g in grams)
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def bag_sums(words: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the sum of ``parts`` over its :func:`subwords`, and their number; words of ASCII all at once."""
+    totals, counts = np.zeros(len(words)), np.zeros(len(words))
+    plain = np.array([word.isascii() for word in words], bool)
+    for at in np.flatnonzero(~plain):
+        rows = subwords(words[at])
+        totals[at], counts[at] = parts[rows].sum(dtype=np.float64), len(rows)
+    places = np.flatnonzero(plain)
+    if not len(places):
+        return totals, counts
+    marked = [f"<{words[at]}>".encode() for at in places]
+    sizes = np.array([len(m) for m in marked])
+    raw = np.frombuffer(b"".join(marked) + bytes(max(GRAMS)), np.uint8)
+    total = int(sizes.sum())
+    owner = np.repeat(np.arange(len(marked)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)  # bytes to the end of the word
+    state, key = np.full(total, 0xFFFFFFFF, np.uint32), np.zeros(total, np.int64)
+    owners, rows, keys = [], [], []
+    for n in range(1, max(GRAMS) + 1):
+        byte = raw[n - 1 : n - 1 + total]
+        state = _CRC[(state ^ byte) & 255] ^ (state >> 8)
+        key = key | byte.astype(np.int64) << 8 * (n - 1)
+        if n in GRAMS:
+            inside = np.flatnonzero(left >= n)
+            owners.append(owner[inside])
+            rows.append((~state[inside]) % ROWS)
+            keys.append(key[inside] | n << 40)
+    longer = np.flatnonzero(sizes > max(GRAMS))  # others are one of their own n-grams
+    owners.append(longer)
+    rows.append(np.array([zlib.crc32(marked[at]) % ROWS for at in longer], np.uint32))
+    keys.append(np.full(len(longer), -1, np.int64))
+    owners, rows, keys = np.concatenate(owners), np.concatenate(rows), np.concatenate(keys)
+    order = np.lexsort((keys, owners))
+    owners, rows, keys = owners[order], rows[order], keys[order]
+    first = np.concatenate([[True], (owners[1:] != owners[:-1]) | (keys[1:] != keys[:-1])])
+    owners, rows = owners[first], rows[first]
+    totals[places] = np.bincount(owners, parts[rows].astype(np.float64), len(marked))
+    counts[places] = np.bincount(owners, minlength=len(marked))
+    return totals, counts
+
+
 def window_starts(words: int) -> np.ndarray:
     """First words of the windows; the last one ends with the text."""
     starts = np.arange(0, max(1, words - WINDOW + STEP), STEP)
@@ -66,32 +120,47 @@ class Model:
         self.prior, self.offset = prior, offset
         #: What each subword adds to a window's score, before the average.
         self.parts = None if table is None else (table @ weights).astype(np.float32)
-        self.known: dict[str, tuple[float, int]] = {}
+        #: Places of the words seen in the arrays of their sums and of their subwords' numbers.
+        self.known: dict[str, int] = {}
+        self.totals = self.counts = np.empty(0)
 
     def __getstate__(self):
-        return {**self.__dict__, "known": {}}
+        return {**self.__dict__, "known": {}, "totals": np.empty(0), "counts": np.empty(0)}
 
-    def _word(self, word: str) -> tuple[float, int]:
-        rows = subwords(word)
-        return float(self.parts[rows].sum(dtype=np.float64)), len(rows)
-
-    def score(self, text: str | None) -> float:
-        """From 0 to 1; the prior for a text without words."""
-        words = words_of(text)
-        if not words or self.parts is None:
-            return self.prior
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+    def _learn(self, batch: list[list[str]]) -> None:
+        """Sums of all words of the texts; what was known before goes when it becomes too much."""
+        new = [w for w in dict.fromkeys(chain.from_iterable(batch)) if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = list(dict.fromkeys(words))
-        self.known.update((w, self._word(w)) for w in new)
-        found = np.array([self.known[w] for w in words])
-        sums = np.concatenate([np.zeros((1, 2)), np.cumsum(found, axis=0)])
+            new = list(dict.fromkeys(chain.from_iterable(batch)))
+        at = len(self.known)
+        if at + len(new) > len(self.totals):
+            size = max(REMEMBERED, len(new))
+            self.totals, self.counts = (np.concatenate([a[:at], np.empty(size - at)]) for a in (self.totals, self.counts))
+        self.totals[at : at + len(new)], self.counts[at : at + len(new)] = bag_sums(new, self.parts)
+        self.known.update(zip(new, range(at, at + len(new))))
+
+    def _highest(self, words: list[str]) -> float:
+        if not words:
+            return self.prior
+        places = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        sums, counts = (np.concatenate([[0.0], np.cumsum(a[places])]) for a in (self.totals, self.counts))
         starts = window_starts(len(words))
-        within = sums[np.minimum(starts + WINDOW, len(words))] - sums[starts]
-        highest = float((within[:, 0] / within[:, 1]).max()) + self.offset
+        ends = np.minimum(starts + WINDOW, len(words))
+        highest = float(((sums[ends] - sums[starts]) / (counts[ends] - counts[starts])).max()) + self.offset
         return float(1 / (1 + np.exp(-np.clip(highest, -500, 500))))
 
+    def scores(self, texts: list[str | None]) -> list[float]:
+        """From 0 to 1 each; the prior for a text without words."""
+        if self.parts is None:
+            return [self.prior] * len(texts)
+        batch = [words_of(text) for text in texts]
+        self._learn(batch)
+        return [self._highest(words) for words in batch]
+
+    def score(self, text: str | None) -> float:
+        return self.scores([text])[0]
+
 
 def fit(samples: list[tuple[list[str], int]], seed: int = 7) -> Model:
     """Train on texts given as their windows (words with spaces between), each with its label (0 or 1)."""
@@ -226,7 +295,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int
     def run(batches):
         scorer = shared.value
         for batch in batches:
-            scores = pa.array([scorer.score(t.as_py()) for t in batch.column(2)], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores], names=schema.names)
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                scores = pa.array(scorer.scores(part.column(2).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), scores], names=schema.names)
 
     return source.mapInArrow(run, schema).select(ID, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

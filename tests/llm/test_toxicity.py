@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import pytest
 
 from clearbrook.llm import toxicity
@@ -76,3 +77,19 @@ def test_without_two_kinds_of_labels(kind, spark):
 def test_empty_table(spark):
     ship(spark)
     assert toxicity.toxicity(documents(spark, []).where("false"), spark.createDataFrame([], "doc_id long, toxic int")).collect() == []
+
+
+def test_words_looked_up_together_have_the_sums_of_their_subwords(monkeypatch):
+    """One call for many words, as a call for each took most of the time; repeated n-grams count once, also beyond ASCII."""
+    parts = np.random.default_rng(2).normal(size=toxicity.ROWS).astype(np.float32)
+    words = ["a", "ab", "abc", "aaaaaaaaaa", "xyxyxyxyxy", "<>", "!!!", "über", "naïve", "日本語", "zebra", "12345678901234567890"]
+    totals, counts = toxicity.bag_sums(words, parts)
+    bags = [toxicity.subwords(w) for w in words]
+    assert counts.tolist() == [len(b) for b in bags]
+    assert totals.tolist() == pytest.approx([float(parts[b].sum(dtype=np.float64)) for b in bags], abs=1e-9)
+    assert all(len(a) == 0 for a in toxicity.bag_sums([], parts))
+    monkeypatch.setattr(toxicity, "REMEMBERED", 5)  # forgets, and takes more than that where one batch has more
+    model = toxicity.Model(0.1, np.ones((toxicity.ROWS, 2), np.float32) * parts[:, None], np.ones(2, np.float32))
+    texts = ["a b c", "d e f", None, "a b c d e f g h", "c"]
+    alone = [toxicity.Model(0.1, np.ones((toxicity.ROWS, 2), np.float32) * parts[:, None], np.ones(2, np.float32)).score(t) for t in texts]
+    assert [model.score(t) for t in texts] == alone == model.scores(texts) and alone[2] == 0.1
