@@ -101,3 +101,42 @@ def test_edge_rows_and_copies(spark):
     assert sorted(r["doc_id"] for r in nearcopies.keep_one(many).collect()) == [0, 1000]
     assert nearcopies.keep_one(documents(spark, []).where("false")).collect() == []
     assert nearcopies.keep_one(documents(spark)).columns == documents(spark).columns
+
+
+def groups_of(pairs, n):
+    """The smallest number of each one's group."""
+    roots = list(range(n))
+    for _ in range(n):
+        for a, b in pairs:
+            roots[a] = roots[b] = min(roots[a], roots[b])
+    return roots
+
+
+def test_no_pair_that_meets_the_similarity_is_left_out(spark):
+    """Groups are those of all pairs: around the threshold, over others, among copies, with common and with few shingles."""
+    ship(spark)
+    pick = random.Random(5)
+    texts = []
+    for similarity in (0.8, 0.82, 0.85):
+        for size in (12, 40, 200, 500):
+            for _ in range(8):
+                words = [pick.choice(WORDS) for _ in range(size)]
+                texts += [" ".join(words), " ".join(copy_with_changes(pick, words, similarity))]
+                texts.append(" ".join(words[: round(size * similarity) + 2]))  # a part of it
+    words = [pick.choice(WORDS) for _ in range(300)]
+    for _ in range(40):  # each a copy of the one before, the ends unlike
+        texts.append(" ".join(words))
+        words = copy_with_changes(pick, words, 0.83).copy()
+    lines = [" ".join(pick.choice(WORDS) for _ in range(12)) for _ in range(20)]
+    texts += [" ".join(pick.sample(lines, 9)) for _ in range(60)]  # made of what others have too
+    texts += texts[:5] + ["a b c d e f g h", "a b c d e f g h i", "a b c d e f g", "a", "a b"]
+    pick.shuffle(texts)
+    sets = [frozenset(nearcopies.shingles(t).tolist()) for t in texts]
+    pairs = [
+        (a, b) for a, b in itertools.combinations(range(len(sets)), 2)
+        if len(sets[a] & sets[b]) >= nearcopies.SIMILARITY * len(sets[a] | sets[b])
+    ]
+    roots = groups_of(pairs, len(sets))
+    assert len(pairs) > 150 and len(set(roots)) > 100
+    kept = {r["doc_id"] for r in nearcopies.keep_one(documents(spark, list(enumerate(texts)))).collect()}
+    assert kept == set(roots)
