@@ -27,6 +27,6 @@ from clearbrook.operators.winsor import (
 )
 from clearbrook.plans.evidence import evidence_tables
 from clearbrook.plans.workflow import apply_patch, run_workflow
-from clearbrook.sources.files import read_text_artifacts
+from clearbrook.sources.files import read_bundled_artifacts, read_text_artifacts, write_bundled_artifacts
 from clearbrook.sources.ingest import ingest, load_raw, stage_table
 from clearbrook.sources.versions import VersionedTable

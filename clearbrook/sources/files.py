@@ -110,6 +110,18 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> D
 LARGEST_ARTIFACT = 16 << 20
 
 
+def _judged(files: DataFrame, largest: int) -> DataFrame:
+    """The rows that the readers of text artifacts return, from a table of files as the whole-file reader has them."""
+    text = F.col("content").cast("string")
+    about = ["path", F.col("length").alias("n_bytes"), F.col("modificationTime").alias("modified")]
+    # The condition on the length reaches the reader, which then leaves the bytes of larger files alone.
+    read = files.where(F.col("length") <= largest).select(
+        *about, F.when(F.is_valid_utf8(text), text).alias("content"), F.when(F.is_valid_utf8(text), "read").otherwise("unreadable").alias("state")
+    )
+    listed = files.where(F.col("length") > largest).select(*about, F.lit(None).cast("string").alias("content"), F.lit("too large").alias("state"))
+    return read.unionByName(listed)
+
+
 def read_text_artifacts(spark: SparkSession, path: str, largest: int = LARGEST_ARTIFACT, pattern: str | None = None) -> DataFrame:
     """One row per file at or below ``path``: ``path``, ``n_bytes``, ``modified``, ``content`` and ``state``.
 
@@ -118,17 +130,29 @@ def read_text_artifacts(spark: SparkSession, path: str, largest: int = LARGEST_A
     ``unreadable``.  Neither has content, and nothing of a file is read in
     part.  ``pattern`` is a glob for file names.  Files without a byte are not
     listed; that is how the reader has it.
+
+    Every file costs a listing and an opening; very many small ones are better
+    kept in bundles (:func:`read_bundled_artifacts`).
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
-    text = F.col("content").cast("string")
-    about = ["path", F.col("length").alias("n_bytes"), F.col("modificationTime").alias("modified")]
-    # The condition on the length reaches the reader, which then leaves the bytes of larger files alone.
-    read = files.where(F.col("length") <= largest).select(
-        *about, F.when(F.is_valid_utf8(text), text).alias("content"), F.when(F.is_valid_utf8(text), "read").otherwise("unreadable").alias("state")
-    )
-    listed = files.where(F.col("length") > largest).select(*about, F.lit(None).cast("string").alias("content"), F.lit("too large").alias("state"))
-    return read.unionByName(listed)
+    return _judged((reader.option("pathGlobFilter", pattern) if pattern else reader).load(path), largest)
+
+
+def write_bundled_artifacts(artifacts: DataFrame, path: str) -> None:
+    """Text files (``path``, ``content``) as a table of whole files: their number does not count, only what they hold."""
+    artifacts.select(
+        "path", F.current_timestamp().alias("modificationTime"), F.octet_length("content").cast("long").alias("length"),
+        F.col("content").cast("binary").alias("content"),
+    ).write.parquet(path)
+
+
+def read_bundled_artifacts(spark: SparkSession, path: str, largest: int = LARGEST_ARTIFACT) -> DataFrame:
+    """What :func:`read_text_artifacts` returns, of files that are bundled in a table with the columns of ``binaryFile``.
+
+    A file is one value of that table.
+    """
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    return _judged(spark.read.schema(schema).parquet(path), largest)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import collections
 import datetime
+import hashlib
 import os
 import random
 
@@ -13,7 +14,7 @@ from clearbrook.operators import diff, grouped, joins, merge, sketches
 from clearbrook.operators.contracts import ContractViolation
 from clearbrook.operators.observed import enforce_load, observed_load
 from clearbrook.plans import catalog, reports
-from clearbrook.sources.files import read_text_artifacts
+from clearbrook.sources.files import read_bundled_artifacts, read_text_artifacts
 from clearbrook.sources.versions import Conflict, VersionedTable
 
 DAY = datetime.date(2025, 7, 1)
@@ -325,3 +326,29 @@ def test_text_files_with_a_limit(spark, tmp_path):
     assert read_text_artifacts(spark, str(tmp_path), pattern="*.json").count() == 1
     text = read_text_artifacts(spark, str(tmp_path), largest=100)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [LessThanOrEqual(length,100)]" in text
+
+
+def test_bundled_text_files_are_judged_like_single_ones(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/single")
+    for name, content in {"plan.json": b"{}", "notes.txt": "ü\n\n".encode(), "big.txt": b"x" * 101, "bad.txt": b"\xff\xfe"}.items():
+        with open(f"{tmp_path}/single/{name}", "wb") as file:
+            file.write(content)
+    spark.read.format("binaryFile").load(f"{tmp_path}/single").write.parquet(f"{tmp_path}/bundled")
+    single = read_text_artifacts(spark, f"{tmp_path}/single", largest=100)
+    bundled = read_bundled_artifacts(spark, f"{tmp_path}/bundled", largest=100)
+    assert bundled.schema == single.schema
+    assert sorted(map(tuple, bundled.collect())) == sorted(map(tuple, single.collect())) and bundled.count() == 4
+
+
+def test_text_artifact_scan_makes_no_file_for_each_document(spark, tmp_path, monkeypatch):
+    """Files follow from tasks, not from documents; the rows are those of the SQL."""
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(catalog, "scratch_path", lambda session, label: f"{scratch}/{label}")
+    rows = [(k, f"text {k} ü \"quoted\"\n" * (1 if k % 50 else 2000)) for k in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in catalog.queries()["text_artifact_scan"](spark, str(tmp_path)).collect()}
+    assert len(list(scratch.rglob("part-*"))) < 100
+    assert len(found) == 400 and all(r["strict_as_expected"] for r in found.values())
+    for k, text in rows:
+        assert found[k]["large"] == (k % 50 == 0) and found[k]["state"] == ("read" if k % 50 else "too large")
+        assert found[k]["text_md5"] == (hashlib.md5(text.encode()).hexdigest() if k % 50 else None)
