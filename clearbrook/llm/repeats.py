@@ -10,13 +10,17 @@ extended word by word on both sides; what the extended matches of a text cover,
 ``LEAST`` words, is deleted. A first occurrence in the same text is not touched by its repetition.
 
 The first occurrence of a fingerprint may stand in a fragment, and the first whole copy of the passage elsewhere. So
-each window of ``LEAST`` words that an occurrence does not share with the first one gets a key, a hash of the
-whole window, and of equal keys all but the first are deleted too. A window belongs to the fingerprint that is its
-smallest line, which equal windows have in common; where one of them is shared with the fingerprint's first occurrence,
-all are. So every window that stands earlier in the corpus is found, by one of the two ways.
+windows of ``LEAST`` words that an occurrence does not share with the first one get a key, a hash of the whole window,
+and of equal keys all but the first are deleted too. A window belongs to the fingerprint that is its smallest line,
+which equal windows have in common; where one of them is shared with the fingerprint's first occurrence, all are. So
+every window that stands earlier in the corpus is found, by one of the two ways. Equal windows have at least ``HALF``
+words in common before the line, or as many after it; only those whose half stands more than once get a key.
 
-The texts are read three times and shuffled once. Between the first two readings only a filter of a fixed size goes
-through the driver, in which all repeated fingerprints, and some others, are marked; it saves work and decides nothing.
+Texts that repeat a few words very often have the same line, and the same window, at thousands of places. Places of a
+text whose words are the same as far as a window reaches are one row, and so is what equal windows of a text cover.
+
+The texts are read four times and shuffled once. Between the readings only filters of a fixed size go through the
+driver, in which all repeated fingerprints or halves, and some others, are marked; they save work and decide nothing.
 """
 
 from __future__ import annotations
@@ -34,7 +38,9 @@ from clearbrook.llm.common import ID, TEXT, discard, keep, texts
 GRAM, REACH = 26, 25
 #: Words from which a repeated run is deleted.
 LEAST = GRAM + REACH - 1
-#: Bits of the filter, as a power of two: 8 MB for a corpus of any size.
+#: Words beside a line that equal windows around it share on one side at least: a window has REACH - 1 on both together.
+HALF = (REACH - 1) // 2
+#: Bits of a filter, as a power of two: 8 MB for a corpus of any size.
 FILTER_BITS = 26
 #: Bytes whose words are hashed at a time.
 _BLOCK = 1 << 20
@@ -149,8 +155,9 @@ def _lines(docs: DataFrame) -> DataFrame:
     return texts(docs).select(TEXT).mapInArrow(run, "line bigint")
 
 
-def _filter(repeated: DataFrame) -> np.ndarray:
-    """Marks of the repeated lines as bytes of eight bits each; the size is fixed."""
+def _filter(values: DataFrame) -> np.ndarray:
+    """Marks of the lines that come more than once, as bytes of eight bits each; the size is fixed."""
+    repeated = values.groupBy("line").agg(F.count("*").alias("n")).where("n > 1")
     place = F.col("line").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
     parts = repeated.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     marks = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
@@ -160,6 +167,11 @@ def _filter(repeated: DataFrame) -> np.ndarray:
     return marks
 
 
+def _marked(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slot = (values & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return (marks[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
 def _around(hashes: np.ndarray, text: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Per place the short hashes of the words before the line, nearest first, then of those after it; 0 is no word."""
     reach = REACH - 1
@@ -194,39 +206,67 @@ def _binary(matrix: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(matrix))])
 
 
+def _halves(lines: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """Per line two hashes: of it with the ``HALF`` words before it, and of it with those after it."""
+    made = np.empty((len(lines), 2), np.uint64)
+    for side, seed in enumerate((0xA0761D6478BD642F, 0xE7037ED1A0B428DB)):
+        value = lines ^ np.uint64(seed)
+        for part in np.ascontiguousarray(around[:, side * (REACH - 1) :][:, :HALF]).view(np.uint64).T:
+            value = (value ^ part) * np.uint64(0xD6E8FEB86659FD93)
+            value ^= value >> np.uint64(32)
+        made[:, side] = value
+    return made
+
+
+def _alike(text: np.ndarray, lines: np.ndarray, around: np.ndarray, owned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the same text, line, surroundings and windows taken together.
+
+    The first place of each group, all places by group, and where each group's begin, with the number of all as the last.
+    """
+    value = lines ^ (text.astype(np.uint64) << np.uint64(32)) ^ owned.astype(np.uint64)
+    for part in np.ascontiguousarray(around).view(np.uint64).T:
+        value = (value ^ part) * np.uint64(0xD6E8FEB86659FD93)
+        value ^= value >> np.uint64(32)
+    _, first, group, sizes = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
+    by_first = np.argsort(first)
+    rank = np.empty_like(by_first)
+    rank[by_first] = np.arange(len(first))
+    return first[by_first], np.argsort(rank[group], kind="stable"), np.concatenate([[0], np.cumsum(sizes[by_first])])
+
+
 def _occurrences(docs: DataFrame, marks: np.ndarray) -> DataFrame:
-    """The marked fingerprints with their text, place and surroundings."""
+    """The marked fingerprints with their text, surroundings, and all places in the text that have the same ones."""
     shared = docs.sparkSession.sparkContext.broadcast(marks)
     source = texts(docs).select(ID, TEXT, F.xxhash64(TEXT).alias("digest"))
     schema = T.StructType([
-        T.StructField("line", T.LongType()), source.schema[ID], source.schema["digest"], T.StructField("place", T.LongType()), T.StructField("around", T.BinaryType()),
-        T.StructField("owned", T.IntegerType()), T.StructField("windows", T.ArrayType(T.LongType())),
+        T.StructField("line", T.LongType()), source.schema[ID], source.schema["digest"], T.StructField("places", T.ArrayType(T.IntegerType())),
+        T.StructField("around", T.BinaryType()), T.StructField("owned", T.IntegerType()),
     ])
 
     def run(batches):
         known = shared.value
         for batch in batches:
             rows, lines, places, around = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((0, 2 * REACH - 2), np.uint16)]
-            owned, windows = [np.empty((0, REACH), bool)], [np.empty(0, np.uint64)]
+            owned, sizes = [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
             for row, owner, firsts, at, values, hashes, least in fingerprints(batch.column(1).to_pylist()):
-                slot = (values & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-                marked = (known[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                marked = _marked(known, values)
                 at, values, row = at[marked], values[marked], row[marked]
                 if len(at):
-                    rows.append(row)
-                    lines.append(values)
-                    places.append(at - firsts[owner[at]])
-                    around.append(_around(hashes, owner, at))
-                    owned.append(_owned(least, at, values))
-                    one, k = np.nonzero(owned[-1])
-                    windows.append(_windows(hashes)[at[one] - k])
-            taken, own = pa.array(np.concatenate(rows)), np.concatenate(owned)
-            until = pa.array(np.concatenate([[0], np.cumsum(own.sum(axis=1))]).astype(np.int32))
+                    beside, own = _around(hashes, owner, at), (_owned(least, at, values) << np.arange(REACH)).sum(axis=1)
+                    first, order, begins = _alike(row, values, beside, own)
+                    rows.append(row[first])
+                    lines.append(values[first])
+                    places.append((at - firsts[owner[at]])[order])
+                    sizes.append(np.diff(begins))
+                    around.append(beside[first])
+                    owned.append(own[first])
+            taken = pa.array(np.concatenate(rows))
+            until = pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(lines).view(np.int64)), batch.column(0).take(taken), batch.column(2).take(taken),
-                    pa.array(np.concatenate(places)), _binary(np.concatenate(around)), pa.array((own << np.arange(REACH)).sum(axis=1).astype(np.int32)),
-                    pa.ListArray.from_arrays(until, pa.array(np.concatenate(windows).view(np.int64))),
+                    pa.ListArray.from_arrays(until, pa.array(np.concatenate(places).astype(np.int32))),
+                    _binary(np.concatenate(around)), pa.array(np.concatenate(owned).astype(np.int32)),
                 ],
                 names=schema.names,
             )
@@ -234,43 +274,99 @@ def _occurrences(docs: DataFrame, marks: np.ndarray) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
+def _merged(start: np.ndarray, stop: np.ndarray, *group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first and the last of the stretches that touch, in stretches of a group in order and of one length."""
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > stop[:-1]
+    for part in group:
+        new[1:] |= part[1:] != part[:-1]
+    first = np.flatnonzero(new)
+    return first, np.append(first[1:], len(start))[: len(first)] - 1
+
+
 def _covered(matched: DataFrame) -> DataFrame:
-    """Stretches of words as one number each: the first word, and the one after the last.
+    """What matches cover when they are extended, as one number: the first word, and the one after the last.
 
-    Without ``key`` what a match covers when it is extended; with it a window that the match does not cover, and its hash.
+    Rows without a text are halves: those of windows that a match does not cover.
     """
 
     def run(batches):
         for batch in batches:
-            place, first = batch.column("place").to_numpy(zero_copy_only=False), batch.column("first").to_numpy(zero_copy_only=False)
-            same = batch.column("same").to_numpy(zero_copy_only=False).astype(bool)
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(len(place), -1) for c in ("around", "first_around"))
+            first, same = batch.column("first").to_numpy(zero_copy_only=False).astype(np.int64), batch.column("same").to_numpy(zero_copy_only=False).astype(bool)
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(len(first), -1) for c in ("around", "first_around"))
             equal = (a == b) & (a != 0)
             left, right = (np.logical_and.accumulate(part, axis=1).sum(axis=1) for part in (equal[:, : REACH - 1], equal[:, REACH - 1 :]))
-            start = np.where(same, np.maximum(place - left, first + GRAM), place - left)
-            stop = place + GRAM + right
-            some = np.flatnonzero(start < stop)
+            lists = batch.column("places")
+            place, row = lists.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(len(first)), lists.value_lengths().to_numpy())
+            later = ~(same[row] & (place == first[row]))
+            place, row = place[later], row[later]
+            start, stop = place - left[row], place + GRAM + right[row]
+            begin, end = _merged(start, stop, row)
+            start, stop, of = start[begin], stop[end], row[begin]
+            start = np.where(same[of], np.maximum(start, first[of] + GRAM), start)
+            some = start < stop
+            start, stop, of = start[some], stop[some], of[some]
             before = np.arange(REACH)
             owned = batch.column("owned").to_numpy(zero_copy_only=False)[:, None] >> before & 1 == 1
-            row, k = np.nonzero(owned)
             # A line that stands twice only has no third place where the same window could stand.
             thrice = batch.column("thrice").to_numpy(zero_copy_only=False).astype(bool)
-            uncovered = ((k > left[row]) | (REACH - 1 - k > right[row])) & thrice[row]
-            keys = batch.column("windows").flatten().to_numpy(zero_copy_only=False)[uncovered]
-            row, k = row[uncovered], k[uncovered]
-            begin = place[row] - k
-            ids = pa.array(np.concatenate([some, row]))
-            cuts = np.concatenate([(start[some] << 32) | stop[some], (begin << 32) | (begin + LEAST)])
-            nulls = np.arange(len(cuts)) < len(some)
-            keys = pa.array(np.concatenate([np.zeros(len(some), np.int64), keys]), mask=nulls)
+            uncovered = owned & ((before > left[:, None]) | (REACH - 1 - before > right[:, None])) & thrice[:, None]
+            sides = np.stack([uncovered[:, HALF:].any(axis=1), uncovered[:, :HALF].any(axis=1)], axis=1)
+            sides = sides * np.minimum(np.bincount(row, minlength=len(first)), 2)[:, None]  # twice is repeated
+            halves = np.repeat(_halves(batch.column("line").to_numpy(zero_copy_only=False).view(np.uint64), a).ravel(), sides.ravel()).view(np.int64)
+            none = pa.nulls(len(halves), pa.int64())
+            taken = pa.chunked_array([pa.array(of), none]).combine_chunks()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(ID).take(ids), batch.column("digest").take(ids), pa.array(cuts), keys], names=[ID, "digest", "cut", "key"]
+                [
+                    batch.column(ID).take(taken), batch.column("digest").take(taken),
+                    pa.chunked_array([pa.array((start << 32) | stop), none]).combine_chunks(),
+                    pa.chunked_array([pa.nulls(len(of), pa.int64()), pa.array(halves)]).combine_chunks(),
+                ],
+                names=[ID, "digest", "cut", "half"],
             )
 
-    schema = T.StructType([matched.schema[ID], matched.schema["digest"], T.StructField("cut", T.LongType()), T.StructField("key", T.LongType())])
+    schema = T.StructType([matched.schema[ID], matched.schema["digest"], T.StructField("cut", T.LongType()), T.StructField("half", T.LongType())])
     return matched.mapInArrow(run, schema)
 
 
+def _keyed(docs: DataFrame, marks: np.ndarray, halves: np.ndarray) -> DataFrame:
+    """The windows around marked fingerprints with a marked half: their hash, text, and the words that they cover."""
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(marks), context.broadcast(halves)
+    source = texts(docs).select(ID, TEXT, F.xxhash64(TEXT).alias("digest"))
+    schema = T.StructType([source.schema[ID], source.schema["digest"], T.StructField("cut", T.LongType()), T.StructField("key", T.LongType())])
+
+    def run(batches):
+        known, repeated = (s.value for s in shared)
+        for batch in batches:
+            rows, cuts, keys = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+            number = 0
+            for _, owner, firsts, at, values, hashes, least in fingerprints(batch.column(1).to_pylist()):
+                marked = _marked(known, values)
+                at, values = at[marked], values[marked]
+                if len(at):
+                    before, after = _marked(repeated, _halves(values, _around(hashes, owner, at))).T
+                    one, k = np.nonzero(_owned(least, at, values) & np.where(np.arange(REACH) >= HALF, before[:, None], after[:, None]))
+                    begins = np.zeros(len(least), bool)
+                    begins[at[one] - k] = True
+                    begin = np.flatnonzero(begins)
+                    key, text = _windows(hashes)[begin], owner[begin]
+                    order = np.lexsort((key, text))
+                    key, text, begin = key[order], text[order], begin[order] - firsts[text[order]]
+                    first, last = _merged(begin, begin + LEAST, text, key)
+                    rows.append(number + text[first])
+                    cuts.append((begin[first] << 32) | (begin[last] + LEAST))
+                    keys.append(key[first])
+                number += len(firsts)
+            taken = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(taken), batch.column(2).take(taken), pa.array(np.concatenate(cuts)), pa.array(np.concatenate(keys).view(np.int64))],
+                names=schema.names,
+            )
+
+    return source.mapInArrow(run, schema)
+
+
 def _same(first: str):
     """Whether a row is of the text that its first occurrence is in."""
     return F.col(ID).eqNullSafe(F.col(f"{first}.{ID}")) & (F.col("digest") == F.col(f"{first}.digest"))
@@ -278,29 +374,33 @@ def _same(first: str):
 
 def repeated_words(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, cuts): for each text that repeats an earlier one the words that its matches cover."""
-    repeated = _lines(docs).groupBy("line").agg(F.count("*").alias("n")).where("n > 1")
-    found = keep(_occurrences(docs, _filter(repeated)), "occurrences")
+    marks = _filter(_lines(docs))
+    found = keep(_occurrences(docs, marks), "occurrences")
     order = [F.col(ID).isNull().alias("unnamed"), ID, "digest"]
     # Written, so that the join shuffles both sides for itself and can split a line that very many places share.
-    least = F.min(F.struct(*order, "place", "around")).alias("first")
-    firsts = keep(found.groupBy("line").agg(least, F.count("*").alias("n")).where("n > 1").select("line", "first", (F.col("n") > 2).alias("thrice")), "firsts")
-    matched = found.join(firsts, "line").where(~(_same("first") & (F.col("place") == F.col("first.place")))).select(
-        ID, "digest", "place", "around", "owned", "windows", F.col("first.place").alias("first"), F.col("first.around").alias("first_around"), _same("first").alias("same"), "thrice"
+    least = F.min(F.struct(*order, F.col("places")[0].alias("place"), "around")).alias("first")
+    number = F.sum(F.size("places")).alias("n")
+    firsts = keep(found.groupBy("line").agg(least, number).where("n > 1").select("line", "first", (F.col("n") > 2).alias("thrice")), "firsts")
+    alone = _same("first") & (F.col("places")[0] == F.col("first.place")) & (F.size("places") == 1)
+    matched = found.join(firsts, "line").where(~alone).select(
+        "line", ID, "digest", "places", "around", "owned", F.col("first.place").alias("first"), F.col("first.around").alias("first_around"), _same("first").alias("same"), "thrice"
     )
     covered = keep(_covered(matched), "covered")
     discard(found)
     discard(firsts)
-    windows = covered.where("key is not null")
-    least = F.min(F.struct(*order, "cut")).alias("first")
-    heads = keep(windows.groupBy("key").agg(least, F.count("*").alias("n")).where("n > 1").select("key", "first"), "heads")
+    windows = keep(_keyed(docs, marks, _filter(covered.where("half is not null").select(F.col("half").alias("line")))), "windows")
     start, stop = F.shiftright("cut", 32), F.col("cut").bitwiseAND(F.lit(0xFFFFFFFF))
-    after = F.greatest(start, F.when(_same("first"), F.col("first.cut").bitwiseAND(F.lit(0xFFFFFFFF))))
+    least = F.min(F.struct(*order, start.alias("start"))).alias("first")
+    words = F.sum(stop - start).alias("words")
+    heads = keep(windows.groupBy("key").agg(least, words).where(F.col("words") > LEAST).select("key", "first"), "heads")
+    after = F.greatest(start, F.when(_same("first"), F.col("first.start") + LEAST))
     later = windows.join(heads, "key").select(ID, "digest", after.alias("start"), stop.alias("stop")).where("start < stop")
-    stretches = covered.where("key is null").select(ID, "digest", "cut").union(
+    stretches = covered.where("half is null").select(ID, "digest", "cut").union(
         later.select(ID, "digest", F.shiftleft("start", 32).bitwiseOR(F.col("stop")))
     )
     cuts = keep(stretches.groupBy(ID, "digest").agg(F.collect_set("cut").alias("cuts")), "cuts")
     discard(covered)
+    discard(windows)
     discard(heads)
     return cuts
 

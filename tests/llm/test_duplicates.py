@@ -209,6 +209,51 @@ def test_repetition_within_a_text_keeps_the_first(spark):
     assert texts[2].split() == ["a"] * repeats.GRAM
 
 
+def test_a_phrase_at_many_places_of_a_text_is_few_rows(spark, monkeypatch):
+    pick = random.Random(10)
+    phrases = [[f"p{k}x{i}" for i in range(n)] for k, n in enumerate((1, 3, 7, 12, 31))]
+    rows = []
+    for i in range(40):
+        phrase, times = pick.choice(phrases), pick.randint(3, 60)
+        words = [*_words(pick, pick.randint(0, 40)), *phrase * times, *_words(pick, pick.randint(0, 40)), *phrase * (times // 2)]
+        rows.append((i if i % 10 else None, " ".join(words[pick.randint(0, 5) :])))
+    kept, keep = {}, repeats.keep
+
+    def counted(frame, label):
+        made = keep(frame, label)
+        kept[label] = made.count()
+        return made
+
+    monkeypatch.setattr(repeats, "keep", counted)
+    found = {(r["doc_id"], r["n_words"], r["removed_words"]): r["removed_spans"] for r in repeats.line_dedup(documents(spark, rows)).collect()}
+    words = sum(len(text.split()) for _, text in rows)
+    assert kept["occurrences"] < words / 3 and kept["covered"] < words / 3 and kept["windows"] < words / 3
+    # By id, rows without one last; those by the order that the result itself has: the text's hash.
+    digest = {r[0]: r[1] for r in spark.createDataFrame([(t,) for _, t in rows], "t string").selectExpr("t", "xxhash64(t)").collect()}
+    seen, seen_lines, checked = set(), set(), 0
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, digest[r[1]])):
+        words = text.split()
+        [spans] = [s for (j, n, _), s in found.items() if (j, n) == (i, len(words)) and all(int(x) <= len(text) for part in s.split(",") if s for x in part.split(":"))]
+        places = [m.start() for m in re.finditer(r"\S+", text)]
+        gone = {w for w, at in enumerate(places) for a, b in (map(int, s.split(":")) for s in spans.split(",") if s) if a <= at < b}
+        must, may = set(), set()
+        for size, known, into in ((repeats.LEAST, seen, must), (repeats.GRAM, seen_lines, may)):
+            runs = [tuple(words[k : k + size]) for k in range(len(words) - size + 1)]
+            for k, run in enumerate(runs):
+                if run in known:
+                    into |= set(range(k, k + size))
+            first = {}
+            for k, run in enumerate(runs):
+                if run not in known and first.setdefault(run, k) < k:  # later in the text: what lies behind the first
+                    into |= set(range(max(k, first[run] + size), k + size))
+            known |= set(runs)
+        pieces = "".join("x" if w in must else " " for w in range(len(words)))  # shorter ones stay
+        must = {w for piece in re.finditer("x" * repeats.LEAST + "+", pieces) for w in range(*piece.span())}
+        assert must <= gone <= may
+        checked += len(must)
+    assert checked > 1000
+
+
 def test_winnowing_guarantee():
     pick = random.Random(6)
     for _ in range(200):
