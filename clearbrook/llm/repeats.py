@@ -40,8 +40,10 @@ GRAM, REACH = 26, 25
 LEAST = GRAM + REACH - 1
 #: Words beside a line that equal windows around it share on one side at least: a window has REACH - 1 on both together.
 HALF = (REACH - 1) // 2
-#: Bits of a filter, as a power of two: 8 MB for a corpus of any size.
-FILTER_BITS = 26
+#: Bits of a filter, as powers of two: 8 MB at least, 64 MB for a corpus of any size.
+FILTER_BITS = (26, 29)
+#: Bits of a filter for each line that is marked; one in as many of the others is marked too.
+SPARE = 16
 #: Bytes whose words are hashed at a time.
 _BLOCK = 1 << 20
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -156,19 +158,22 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _filter(values: DataFrame) -> np.ndarray:
-    """Marks of the lines that come more than once, as bytes of eight bits each; the size is fixed."""
-    repeated = values.groupBy("line").agg(F.count("*").alias("n")).where("n > 1")
-    place = F.col("line").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+    """Marks of the lines that come more than once, as bytes of eight bits each; their number follows that of the lines."""
+    repeated = keep(values.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line"), "repeated")
+    least, most = FILTER_BITS
+    size = 1 << min(max((SPARE * repeated.count() - 1).bit_length(), least), most)
+    place = F.col("line").bitwiseAND(F.lit(size - 1)) + 1
     parts = repeated.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    marks = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    marks = np.zeros(max(size >> 3, 1 << 12), np.uint8)
     for part, bits in parts.toLocalIterator():
         at = (part - 1) * len(bits)
         marks[at : at + len(bits)] = np.frombuffer(bits, np.uint8)
-    return marks
+    discard(repeated)
+    return marks[: size >> 3]
 
 
 def _marked(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
-    slot = (values & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    slot = (values & np.uint64(8 * len(marks) - 1)).astype(np.int64)
     return (marks[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 

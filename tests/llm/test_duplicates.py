@@ -254,6 +254,25 @@ def test_a_phrase_at_many_places_of_a_text_is_few_rows(spark, monkeypatch):
     assert checked > 1000
 
 
+def test_filters_grow_with_the_lines_and_decide_nothing(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "FILTER_BITS", (10, 24))
+    values = spark.range(120_000).selectExpr("xxhash64(id) line")
+    others = np.array([r[0] for r in spark.range(200_000, 220_000).selectExpr("xxhash64(id)").collect()]).view(np.uint64)
+    for n, most in ((100, 0.1), (40_000, 0.1)):
+        twice = spark.range(n).selectExpr("xxhash64(id) line")
+        marks = repeats._filter(values.union(twice))
+        assert repeats._marked(marks, np.array([r[0] for r in twice.collect()]).view(np.uint64)).all()
+        assert repeats._marked(marks, others).mean() < most and 8 * len(marks) <= 2 * repeats.SPARE * max(n, 64)
+    pick = random.Random(11)
+    passages = [[f"p{k}x{i}" for i in range(90)] for k in range(5)]
+    rows = [(i, " ".join([*_words(pick, pick.randint(0, 60)), *pick.choice(passages)[pick.randint(0, 30) :], *["a b"] * pick.randint(0, 70)])) for i in range(60)]
+    found = []
+    for bits in ((26, 29), (3, 3)):  # all are marked
+        monkeypatch.setattr(repeats, "FILTER_BITS", bits)
+        found.append(sorted(map(tuple, repeats.line_dedup(documents(spark, rows)).collect())))
+    assert found[0] == found[1] and sum(r[3] for r in found[0]) > 1000
+
+
 def test_winnowing_guarantee():
     pick = random.Random(6)
     for _ in range(200):
