@@ -1,7 +1,10 @@
 """Alignment of two tokenizers against every pair of tokens."""
 
 import collections
+import gc
 import hashlib
+import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -130,3 +133,41 @@ def test_bundles_of_any_size_count_alike(spark, folder, monkeypatch):
 
 def test_empty_table(spark):
     assert alignment.align(documents(spark, []).where("false")).collect() == []
+
+
+def _texts_of_new_words(letters, length, n=60):
+    """Texts of 100 words each with plain ends, none of which stands twice."""
+    drawn = random.Random(5)
+    words = list(dict.fromkeys(f"a{''.join(drawn.choices(letters, k=length))}b" for _ in range(200 * n)))
+    return [" ".join(words[100 * k : 100 * k + 100]) for k in range(n)]
+
+
+@pytest.mark.parametrize("letters, length, most", [("etaoinshrdlu", 8, 300), ("漢字かな交じり文😀", 12, 1200)])
+def test_remembered_words_take_the_memory_that_they_are_counted_with(letters, length, most):
+    words = alignment.Words(alignment.FIRST, alignment.SECOND)
+    words.text("word")
+    texts = _texts_of_new_words(letters, length)
+    gc.collect()
+    tracemalloc.start()
+    try:
+        for text in texts:
+            words.text(text)
+        gc.collect()
+        taken = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(words) > 5900
+    assert taken < most * len(words)
+    assert 0.7 * words.held < taken < 1.3 * words.held
+
+
+def test_words_are_forgotten_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(alignment, "_REMEMBERED", 100_000)
+    words = alignment.Words(alignment.FIRST, alignment.SECOND)
+    sizes = []
+    for text in _texts_of_new_words("etaoinшж漢😀", 20):
+        *figures, links = words.text(text)
+        assert (*figures, links.tolist()) == _whole(text)
+        sizes.append(words.held)
+    assert max(sizes) < 100_000 + 200_000  # of one text's words
+    assert sum(b < a for a, b in zip(sizes, sizes[1:])) > 3
